@@ -23,12 +23,12 @@ from . import common, textops
 #: Size of the hashed vocabulary: 2**BITS weights of 4 bytes are sent to the executors.
 BITS = 18
 #: Documented bound: the classifier is fitted on at most so many labelled documents, the first in the order of a hash of doc_id.
-FIT_DOCS = 12000
+FIT_DOCS = 8000
 #: Features of fewer fitted documents than this are left out: they could only be learnt by heart.
 MIN_DOCS = 4
 EPOCHS, RATE, L1 = 30, 0.4, 1.2e-3
 #: Besides the word, its first so many bytes are features.
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5)
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(0x80, 0x100)]] = True
@@ -75,7 +75,10 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     if not 0 < positive < 1:
         return ToxicityModel(weights.astype(np.float32), -20.0 if positive == 0 else 20.0, len(labels))
     bias, bias_seen, total = -6.0, 1e-8, len(labels)
-    compact = [(*np.unique(buckets, return_inverse=True), sentence, doc) for buckets, sentence, doc in bags]
+    compact = []
+    for buckets, sentence, doc in bags:
+        touched, inverse = np.unique(buckets, return_inverse=True)
+        compact.append((touched, inverse.astype(np.int32), sentence, doc))
     for epoch in range(EPOCHS):
         at = 0
         for touched, inverse, sentence, doc in compact:
@@ -108,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
         .select(F.xxhash64("doc_id").alias("h"), "text", "toxic")
         .mapInArrow(_fit_rows, "h long, toxic int, sentences binary, words binary").toPandas()
     )  # at most fit_docs rows (times the copies of an id), as arrays of 4 bytes a word
-    rows = rows.sort_values("h", kind="stable").reset_index(drop=True)
+    rows = rows.sort_values(["h", "words"], kind="stable").reset_index(drop=True)
     bags, y = [], rows.toxic.to_numpy(np.int64)
     documents = np.zeros(1 << BITS, np.int32)
     for b in rows.words:
@@ -122,8 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
             m = int(s.max()) + 1 if len(s) else 1
             kept = common_enough[b]
             buckets.append(b[kept])
-            sentence.append(s[kept] + at)
-            doc.append(np.full(m, k))
+            sentence.append(np.tile(s, len(b) // max(1, len(s)))[kept] + np.int32(at))
+            doc.append(np.full(m, k, np.int32))
             at += m
         bags.append((np.concatenate(buckets), np.concatenate(sentence), np.concatenate(doc)))
     return fit(bags, y)
@@ -135,7 +138,7 @@ def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s_out, w_out = [], []
         for t in texts:
             buckets, sentence, _, _ = _features([t])
-            s_out.append(sentence.astype(np.int32).tobytes())
+            s_out.append(sentence[: len(sentence) // (1 + len(PREFIXES))].astype(np.int32).tobytes())  # the same for each block
             w_out.append(buckets.tobytes())
         yield pa.RecordBatch.from_arrays([h, toxic, pa.array(s_out, pa.binary()), pa.array(w_out, pa.binary())], ["h", "toxic", "sentences", "words"])
 
