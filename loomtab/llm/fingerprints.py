@@ -8,7 +8,8 @@ the union that both sketches hold; containment of A in B is resemblance * |A or
 
 Defined cases: a null or empty text, or one without words, has the empty sketch (fingerprint ''), which resembles
 another empty sketch with 1.0 and any other with 0.0; repeated rows and rows of equal doc_id are neighbours of each other
-in the order of doc_id (then text); a lone document is its own next; an empty table gives an empty result.
+in the order of doc_id (then text); a lone document is its own next; an empty table gives an empty result; a row without
+doc_id has no place in the order and is left out of the comparison (not of `fingerprint`).
 """
 
 from __future__ import annotations

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, pii, toxicity
+from . import fingerprints, packing, pii, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         pii.op2_pii_skip_chain,
         fingerprints.op3_bottom_k_fingerprints,
+        packing.op6_best_fit_packing,
         toxicity.op10_toxicity_mil,
     )
     return {f.__name__: f for f in found}

@@ -98,7 +98,7 @@ def shingles(texts: list[bytes], size: int = 5) -> list[np.ndarray]:
             if hi - lo >= size:
                 out.append(np.unique(h[lo : hi - size + 1]))
             elif hi > lo:
-                s = hi - lo
+                s = int(hi - lo)
                 for x in w.hash[lo:hi].tolist():
                     s = (s * STEP + x) % WORD
                 out.append(mix(np.array([s], np.uint64)))
