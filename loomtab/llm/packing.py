@@ -114,7 +114,7 @@ def _pack(df: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame:
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
         sizes = rows.length.to_numpy()
         bins, offset, used = best_fit(sizes, capacity)
-        rows["sequence_id"] = (turn << 56) + (rows.part << 24) + bins
+        rows["sequence_id"] = (np.int64(turn) << 56) + rows.part.to_numpy() * 2**24 + bins
         rows["offset"], rows["fill"] = offset, np.bincount(bins, sizes).astype(np.int64)[bins]
         rows["bins"], rows["bound"] = used, lower_bound(sizes, capacity)
         return rows[[c.split()[0] for c in PACKED.split(", ")]]
