@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, packing, pii, toxicity
+from . import fingerprints, langid, packing, pii, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        langid.op1_language_mixture,
         pii.op2_pii_skip_chain,
         fingerprints.op3_bottom_k_fingerprints,
         packing.op6_best_fit_packing,
+        tokenfiles.op8_token_id_files,
         toxicity.op10_toxicity_mil,
     )
     return {f.__name__: f for f in found}
