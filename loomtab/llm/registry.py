@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, packing, pii, tokenfiles, toxicity
+from . import fingerprints, langid, neardup, packing, pii, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         langid.op1_language_mixture,
         pii.op2_pii_skip_chain,
         fingerprints.op3_bottom_k_fingerprints,
+        neardup.op4_chosen_path_dedup,
         packing.op6_best_fit_packing,
         tokenfiles.op8_token_id_files,
         toxicity.op10_toxicity_mil,
