@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, langid, neardup, packing, pii, repeats, tokenfiles, toxicity
+from . import decontaminate, fingerprints, langid, neardup, packing, pii, repeats, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         neardup.op4_chosen_path_dedup,
         packing.op6_best_fit_packing,
         tokenfiles.op8_token_id_files,
+        decontaminate.op7_qgram_decontamination,
         repeats.op9_suffix_bucket_dedup,
         toxicity.op10_toxicity_mil,
     )

@@ -42,22 +42,12 @@ FIRST = 25
 HOT = 5_000
 
 
-def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of the `size` bytes from each place on."""
-    n = len(data) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    up, down = textops.powers(len(data) + 1)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], dtype=np.uint64)))
-    return textops.mix((total[size:] - total[:n]) * down[:n])
-
-
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a text of at least WINDOW bytes: the anchors' hashes, and the first and last window start of each.
 
     The window from o on has as anchor the leftmost least hash among the grams at o .. o + WINDOW - GRAM.
     """
-    h = _gram_hashes(data, GRAM)
+    h = textops.window_hashes(data, GRAM)
     reach = WINDOW - GRAM + 1
     # the least of the first `span` grams from each place on, and where it is; the left one stays where both are equal
     n = len(h) - reach + 1
@@ -117,7 +107,7 @@ def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: in
     bucket q bytes on is sorted within the buckets, which gives the buckets of 2q bytes, and so on. Suffixes alone in
     their bucket are told apart already and are not sorted again.
     """
-    grams = _gram_hashes(data, first)
+    grams = textops.window_hashes(data, first)
     need = [window]  # widths from the last back to the first
     while need[-1] > first:
         need.append(max(first, -(-need[-1] // 2)))

@@ -46,6 +46,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the `size` values (bytes, code points) from each place on."""
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    up, down = powers(len(values) + 1)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], dtype=np.uint64)))
+    return mix((total[size:] - total[:n]) * down[:n])
+
+
 def groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about GROUP_BYTES together."""
     start = size = 0
