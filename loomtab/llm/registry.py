@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, langid, neardup, packing, pii, repeats, tokenfiles, toxicity
+from . import decontaminate, fingerprints, langid, neardup, packing, pii, repeats, rollups, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         pii.op2_pii_skip_chain,
         fingerprints.op3_bottom_k_fingerprints,
         neardup.op4_chosen_path_dedup,
+        rollups.op5_token_rollups,
         packing.op6_best_fit_packing,
         tokenfiles.op8_token_id_files,
         decontaminate.op7_qgram_decontamination,
@@ -25,4 +26,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_token_rollups": rollups.OP5_SQL}
