@@ -48,7 +48,7 @@ def upper_domain(c: Column | str) -> Column:
 
 def snake_case(c: Column | str) -> Column:
     """Runs of other characters become one underscore; none at either end."""
-    return F.lower(F.trim(F.lit("_"), F.regexp_replace(_col(c), "[^A-Za-z0-9]+", "_")))
+    return F.lower(F.trim(F.regexp_replace(_col(c), "[^A-Za-z0-9]+", "_"), F.lit("_")))
 
 
 # arithmetic

@@ -26,7 +26,9 @@ def resolve(headers: list[str], aliases: dict[str, str]) -> dict[str, str]:
 
 
 def rename_by_alias(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
-    return df.select([F.col(f"`{h}`").alias(t) for h, t in resolve(df.columns, aliases).items()])
+    found = resolve(df.columns, aliases)
+    places = [f"_{i}" for i in range(len(df.columns))]  # headers may differ in case alone
+    return df.toDF(*places).select([F.col(places[df.columns.index(h)]).alias(t) for h, t in found.items()])
 
 
 def conform_columns(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
