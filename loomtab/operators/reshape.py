@@ -20,9 +20,9 @@ def slug(text: str) -> str:
     return f"_{out}" if out[:1].isdigit() else out
 
 
-def pivot(df: DataFrame, group: list[str], column: str, values: list, agg: str = "sum", cmp: str = "=", prefix: str = "", suffix: str = "", then_value: str | Column = F.lit(1), else_value: Column | int | None = 0, distinct: bool = False, quote_identifiers: bool = True) -> DataFrame:
+def pivot(df: DataFrame, group: list[str], column: str, values: list, agg: str = "sum", cmp: str = "=", prefix: str = "", suffix: str = "", then_value: str | Column | int = 1, else_value: Column | int | None = 0, distinct: bool = False, quote_identifiers: bool = True) -> DataFrame:
     """One column for each value: the aggregate of then_value where the comparison holds and else_value elsewhere."""
-    then = F.col(then_value) if isinstance(then_value, str) else then_value
+    then = F.col(then_value) if isinstance(then_value, str) else F.lit(then_value)
 
     def cell(v) -> Column:
         picked = F.when(COMPARE[cmp](F.col(column), F.lit(v)), then)
