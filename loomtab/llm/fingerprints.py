@@ -86,7 +86,7 @@ def merged(prints: DataFrame, *by: str, column: str = "fingerprint", k: int = K)
     from pyspark.sql import Window
 
     width = 16
-    pieces = F.transform(F.sequence(F.lit(0), F.length(column) / width - 1), lambda i: F.substring(F.col(column), (i * width + 1).cast("int"), F.lit(width)))
+    pieces = F.transform(F.sequence(F.lit(0), (F.length(column) / width - 1).cast("int")), lambda i: F.substring(F.col(column), i * width + 1, F.lit(width)))
     hashes = prints.where(F.length(column) > 0).select(*by, F.explode(pieces).alias("h")).distinct()
     rank = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
     least = hashes.withColumn("r", rank).where(F.col("r") <= k)

@@ -3,8 +3,9 @@
 Documents become pieces of at most `capacity` tokens. Pieces are dealt by hash into partitions of a bounded number of
 pieces; each is packed best-fit decreasing. A dual-feasible function f maps sizes to sizes such that any set that fits
 one bin still fits after f; so the sum of f over the pieces, in capacities and rounded up, bounds the bins from below.
-A partition whose bins meet its best bound is certified optimal and final. The partitions with gaps give up the pieces
-of their bins that are not full; those are dealt anew and packed again, as long as that saves bins.
+A partition whose bins meet its best bound is certified optimal by itself and keeps all but its least filled bin. A
+partition with a gap of g bins gives up the pieces of its GIVEN * (g + 1) least filled bins. What all partitions give up is
+dealt anew, to far fewer partitions, and packed again, as long as that saves bins and several partitions are left.
 
 Defined cases: null or empty text is one piece of the end id alone; repeated rows are packed each; an empty table gives
 no rows; a text of any length is cut, none is dropped; other columns are not read.
@@ -30,11 +31,13 @@ VOCABULARY = "word_bpe_49k.json"
 PART_PIECES = 40_000
 #: Exchanges at most; each stops earlier when it saves nothing or no gap is left.
 ROUNDS = 4
+#: Least filled bins that a partition gives up for each bin of its gap, and once more.
+GIVEN = 2
 #: Dual-feasible functions of the first family that are tried.
 FAMILY = 24
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = PIECES + ", sequence_id long, offset long, fill long, part long, bins long, bound long"
+PACKED = PIECES + ", sequence_id long, offset long, loose boolean, part long, bins long, bound long"
 
 
 def pieces(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -115,17 +118,20 @@ def _pack(df: DataFrame, parts: int, turn: int, capacity: int) -> DataFrame:
         sizes = rows.length.to_numpy()
         bins, offset, used = best_fit(sizes, capacity)
         rows["sequence_id"] = (np.int64(turn) << 56) + rows.part.to_numpy() * 2**24 + bins
-        rows["offset"], rows["fill"] = offset, np.bincount(bins, sizes).astype(np.int64)[bins]
-        rows["bins"], rows["bound"] = used, lower_bound(sizes, capacity)
+        fill, bound = np.bincount(bins, sizes), lower_bound(sizes, capacity)
+        given = np.zeros(used, bool)
+        given[np.argsort(fill, kind="stable")[: GIVEN * (used - bound + 1) if used > bound else 1]] = True
+        rows["offset"], rows["loose"] = offset, (given & (fill < capacity))[bins]
+        rows["bins"], rows["bound"] = used, bound
         return rows[[c.split()[0] for c in PACKED.split(", ")]]
 
     return dealt.groupBy("part").applyInPandas(run, PACKED)
 
 
-def _parts(packed: DataFrame) -> tuple[list[int], int]:
-    """The partitions with gaps, and the bins of all: one small row for each partition of the packing."""
-    rows = packed.groupBy("part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound")).collect()
-    return [r["part"] for r in rows if r["bins"] > r["bound"]], sum(r["bins"] for r in rows)
+def _parts(packed: DataFrame) -> tuple[int, int]:
+    """The number of partitions, and the bins of all."""
+    row = packed.groupBy("part").agg(F.max("bins").alias("bins")).agg(F.count(F.lit(1)), F.coalesce(F.sum("bins"), F.lit(0))).first()
+    return row[0], row[1]
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
@@ -139,19 +145,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIE
     current = common.stored(_pack(items, max(1, -(-n // part_pieces)), 0, capacity), "packed")
     final: list[DataFrame] = []
     for turn in range(1, rounds + 1):
-        gaps, _ = _parts(current)
-        if not gaps:
-            break
-        loose = F.col("part").isin(gaps) & (F.col("fill") < capacity)
-        again = current.where(loose)
-        before = again.select("sequence_id").distinct().count()
-        parts = max(1, -(-again.count() // part_pieces))
-        if len(gaps) == 1 and parts == 1 and turn > 1:
-            break  # the same pieces would be packed in the same order
+        if _parts(current)[0] < 2:
+            break  # one partition's pieces, in the same order, would take the same bins
+        again = current.where("loose")
+        before, n = again.agg(F.count_distinct("sequence_id"), F.count(F.lit(1))).first()
+        parts = max(1, -(-n // part_pieces))
         packed = common.stored(_pack(again, parts, turn, capacity), f"packed{turn}")
         if _parts(packed)[1] >= before:
             break
-        final.append(current.where(~loose))
+        final.append(current.where("not loose"))
         current = packed
     out = current
     for df in final:
