@@ -7,9 +7,9 @@ similarity of their sets is at least 0.75; the classes are the connected compone
 2. Independent trees: a node chooses one or (one time in three) two coordinates and sends each of its members to the
    child that the member's minwise value there names; that is 1 / 0.75 children on average, so a pair at the threshold
    keeps meeting on some path. Nodes of one member end. Small nodes are compared exhaustively. Large nodes are
-   thinned (members close to a leader are tied to it and leave; those that could still be linked to such a member are
-   tied too) and branch again; at the last level what is left of a large node is tied together. The number of trees
-   follows from the recall wanted of a pair at the threshold.
+   thinned (members similar to a leader are tied to it, and leave unless the triangle inequality of the distance lets
+   them be linked to an untied member) and branch again; at the last level what is left of a large node is tied
+   together. The number of trees follows from the recall wanted of a pair at the threshold.
 3. The ties only say what may belong together. Their connected components are groups; in each group links are confirmed
    on the full sets. Groups too large for one task are resolved by rounds against a leader: members linked to it leave,
    except those that the triangle inequality of the Jaccard distance cannot rule out as partners of the others.
@@ -42,8 +42,11 @@ RECALL, DEPTH = 0.9999, 3
 NODE_MAX = 256
 #: Estimated similarity from which two members are tied; about 4.6 standard errors below the threshold.
 TIE = 0.5
-#: A member this close to its node's leader leaves the node; all that could be linked to it are over TIE from the leader.
-CLOSE = 0.875
+#: In a large node members are tied to one leader from this similarity on: copies of one original are less like each other
+#: than like it, and the leader is but one of them. Ties only widen the groups in which links are confirmed.
+LARGE_TIE = 0.3
+#: Allowance for the errors of two estimated distances, about twice the standard error of each.
+SLACK = 0.125
 #: Shingles of a group that one task holds (8 bytes each); larger groups are resolved by rounds.
 GROUP_SHINGLES = 2_000_000
 #: Full sets of leaders sent to all executors, in bytes; beyond it they are joined.
@@ -176,12 +179,12 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, id, signature, leader, leader's signature) with `near` (the tie) and `stays` for each member."""
+    """(node, id, signature, leader, leader's signature) with the estimated similarity to the leader."""
     for batch in batches:
         if not batch.num_rows:
             continue
         s = _similarity((_signatures(batch.column(2)) == _signatures(batch.column(4))).sum(1))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(s >= TIE), pa.array(s < CLOSE)], ["node", "id", "signature", "leader", "near", "stays"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(s)], ["node", "id", "signature", "leader", "similarity"])
 
 
 def ties(classes: DataFrame) -> DataFrame:
@@ -200,9 +203,13 @@ def ties(classes: DataFrame) -> DataFrame:
         if depth == DEPTH:
             found.append(large.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")))
             break
-        thinned = common.stored(large.mapInArrow(_thin, "node long, id long, signature binary, leader long, near boolean, stays boolean"), f"thin{depth}")
-        found.append(thinned.where("near and id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")))
-        level = thinned.where("stays").select(F.explode(_children()).alias("node"), "id", "signature").where("node is not null")
+        thinned = common.stored(large.mapInArrow(_thin, "node long, id long, signature binary, leader long, similarity double"), f"thin{depth}")
+        near = F.col("similarity") >= LARGE_TIE
+        found.append(thinned.where(near & F.expr("id <> leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")))
+        # a tied member is needed further only if an untied one could be linked to it; nodes without untied members are done
+        untied = thinned.where(~near).groupBy("node").agg(F.max("similarity").alias("nearest"))
+        reach = F.col("nearest") + (1 - NUMERATOR / DENOMINATOR + SLACK)
+        level = thinned.join(untied, "node").where(~near | (F.col("similarity") < reach)).select(F.explode(_children()).alias("node"), "id", "signature").where("node is not null")
     out = found[0]
     for df in found[1:]:
         out = out.unionByName(df)
