@@ -74,6 +74,18 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def smallest(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The n rows of the smallest 64-bit hashes `key` (about; all rows if there are fewer): a bounded sample that any run repeats.
+
+    A threshold from the number of rows leaves little more than n of them before they meet in one task.
+    """
+    total = df.count()
+    share = (n + 8 * n**0.5) / max(1, total)
+    if share < 1:
+        df = df.where(key < F.lit(int(share * 2**64) - 2**63))
+    return df.orderBy(key).limit(n)
+
+
 def crc_mod(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id's text, modulo n."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary") if isinstance(doc_id, str) else doc_id.cast("string").cast("binary")) % n

@@ -205,7 +205,7 @@ def all_spans(text: str, base: dict[str, list[tuple[int, int]]], weights: np.nda
 def train(docs: DataFrame, fit_docs: int = FIT_DOCS) -> np.ndarray:
     """Node weights by maximum likelihood of the base labels given the shapes (the piecewise training of the field)."""
     common.prepare(docs.sparkSession)
-    sample = docs.select("text").where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("text")).limit(fit_docs)
+    sample = common.smallest(docs.select("text").where(F.col("text").rlike("[0-9@]")), F.xxhash64("text"), fit_docs)
     rows = sample.mapInArrow(_fit_rows, "label int, shape binary, n long").groupBy("label", "shape").agg(F.sum("n").alias("n")).toPandas()  # distinct shapes, not tokens
     weights = np.zeros((N_SHAPE, len(LABELS)))
     if not len(rows):

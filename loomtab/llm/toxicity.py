@@ -105,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Toxic
     """Fit on labelled documents: docs (doc_id, text), labels (doc_id, toxic). Rows with a null label are left out."""
     spark = common.prepare(docs.sparkSession)
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
+    chosen = common.smallest(known, F.xxhash64("doc_id"), fit_docs)
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         .select(F.xxhash64("doc_id").alias("h"), "text", "toxic")
