@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, textops
@@ -49,22 +49,38 @@ def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     h = textops.window_hashes(data, GRAM)
     reach = WINDOW - GRAM + 1
-    # the least of the first `span` grams from each place on, and where it is; the left one stays where both are equal
     n = len(h) - reach + 1
-    place = np.arange(len(h), dtype=np.uint64)
-    best, span = h.copy(), 1
-    at = place
-    while span < reach:
+    best, span = h, 1
+    while span < reach:  # best[o] becomes the least of h[o : o + span]
         step = min(span, reach - span)
-        a, b = best[:-step] if step else best, best[step:]
-        take = b < a
-        best = np.where(take, b, a)
-        at = np.where(take, at[step:], at[:-step])
+        best = np.minimum(best[:-step], best[step:])
         span += step
-    at = at[:n]
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    first = np.flatnonzero(np.concatenate(([True], best[1:] != best[:-1])))
+    at = first + h[first[:, None] + np.arange(reach)].argmin(1)
     last = np.append(first[1:] - 1, n - 1)
-    return h[at[first].astype(np.int64)], first, last
+    if (at < last).any():  # equal grams: the least stays while its place moves on
+        at, first, last = _with_equals(h, best, first, last)
+    return h[at], first, last
+
+
+def _with_equals(h: np.ndarray, best: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors' places where a stretch of windows has its least gram more than once: the leftmost at or after each window's start."""
+    places: list[int] = []
+    starts: list[int] = []
+    ends: list[int] = []
+    reach = WINDOW - GRAM + 1
+    for a, b in zip(first.tolist(), last.tolist(), strict=True):
+        same = a + np.flatnonzero(h[a : b + reach] == best[a])
+        o = a
+        for p in same.tolist():
+            if o > b:
+                break
+            if p >= o:
+                places.append(p)
+                starts.append(o)
+                ends.append(min(p, b))
+                o = ends[-1] + 1
+    return np.array(places, np.int64), np.array(starts, np.int64), np.array(ends, np.int64)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -88,16 +104,22 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rank, bytes, anchors: number and deal of each) to one row for each anchor: where its windows start, and their bytes."""
+    names = ["hash", "deal", "rank", "start", "bytes"]
     for batch in batches:
-        for rank, b, flagged in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        lists = batch.column(2)
+        numbers, deals_of = (lists.flatten().field(i).to_numpy() for i in (0, 1))
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        hashes, deal, starts, cut = [], [], [], []
+        for rank, b, i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
             h, first, last = _anchors(np.frombuffer(b, np.uint8))
-            flagged = sorted((x["number"], x["deals"]) for x in flagged)
-            which = [n for n, _ in flagged]
-            a, z = first[which], last[which]
-            deals = np.array([d for _, d in flagged], np.int64)
-            deal = np.where(deals > 1, rank % deals, -1)
-            cut = [b[i : j + WINDOW] for i, j in zip(a.tolist(), z.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(h[which].view(np.int64)), pa.array(deal), pa.array(np.full(len(which), rank, np.int64)), pa.array(a), pa.array(cut, pa.binary())], ["hash", "deal", "rank", "start", "bytes"])
+            which, deals = numbers[i:j], deals_of[i:j]
+            hashes.append(h[which])
+            deal.append(np.where(deals > 1, rank % deals, -1))
+            starts.append(first[which])
+            cut += [b[x : y + WINDOW] for x, y in zip(first[which].tolist(), last[which].tolist(), strict=True)]
+        if cut:
+            rank = np.repeat(batch.column(0).to_numpy(), np.diff(ends, prepend=0))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(deal).astype(np.int64)), pa.array(rank), pa.array(np.concatenate(starts)), pa.array(cut, pa.binary())], names)
 
 
 def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: int = FIRST) -> np.ndarray:
@@ -132,23 +154,43 @@ def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: in
     return bucket[starts]
 
 
-def _windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows (.., rank, start, bytes): the row, bucket, rank and place of each window, and whether an earlier one is in its bucket."""
-    rank, start = table.column("rank").to_numpy(), table.column("start").to_numpy()
+def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (hash, rank, start, bytes): repeated bytes as (rank, first byte, end byte), and the rows that hold an earliest window.
+
+    Of equal stretches only the earliest can hold an earliest window: the others are repeats from end to end. The
+    earliest ones of a bucket are told apart window by window, if there are several.
+    """
+    rank, start, keys = (table.column(c).to_numpy() for c in ("rank", "start", "hash"))
     pieces = table.column("bytes").to_pylist()
-    data = np.frombuffer(b"".join(pieces), np.uint8)
+    order = np.lexsort((start, rank))
+    seen: dict[bytes, int] = {}
+    for i in order.tolist():
+        seen.setdefault(pieces[i], i)
+    lead = np.sort(np.fromiter(seen.values(), np.int64, len(seen)))
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    count = size - WINDOW + 1
-    base = np.concatenate(([0], np.cumsum(size)))[:-1]
-    row = np.repeat(np.arange(len(pieces)), count)
-    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    bucket = refine(data, base[row] + within)
-    place, of = start[row] + within, rank[row]
-    order = np.lexsort((place, of, bucket))
-    sorted_bucket = bucket[order]
-    earliest = np.zeros(len(order), bool)
-    earliest[order[np.concatenate(([True], sorted_bucket[1:] != sorted_bucket[:-1]))]] = True
-    return row, bucket, of, place, ~earliest
+    copy = np.ones(len(pieces), bool)
+    copy[lead] = False
+    copy = np.flatnonzero(copy)
+    spans = [(rank[copy], start[copy], start[copy] + size[copy])]
+    _, bucket, members = np.unique(keys[lead], return_inverse=True, return_counts=True)
+    several = lead[members[bucket] > 1]
+    kept = np.ones(len(lead), bool)
+    if len(several):
+        data = np.frombuffer(b"".join([pieces[i] for i in several.tolist()]), np.uint8)
+        count = size[several] - WINDOW + 1
+        base = np.cumsum(size[several]) - size[several]
+        row = np.repeat(np.arange(len(several)), count)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        number = refine(data, base[row] + within)
+        place, of = start[several][row] + within, rank[several][row]
+        order = np.lexsort((place, of, number))
+        ordered = number[order]
+        repeat = np.ones(len(order), bool)
+        repeat[order[np.concatenate(([True], ordered[1:] != ordered[:-1]))]] = False
+        spans.append(_runs_of(of[repeat], place[repeat]))
+        kept = (members[bucket] == 1) | np.isin(lead, several[np.unique(row[~repeat])])
+    r, a, b = (np.concatenate(x) for x in zip(*spans, strict=True))
+    return r, a, b, lead[kept]
 
 
 def _runs_of(of: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,7 +205,7 @@ def _runs_of(of: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 #: Stretches are sorted together up to about so many bytes; a bucket is never cut, and a hot one was dealt out before.
-SORT_BYTES = 8 << 20
+SORT_BYTES = 3 << 20
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
@@ -189,35 +231,34 @@ def _chunks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-SPANS = "rank long, a long, b long"
+SPANS = "rank long, spans array<struct<a: long, b: long>>"
+
+
+def _listed(rank: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """The spans as one list for each rank."""
+    order = np.lexsort((a, rank))
+    rank, a, b = rank[order], a[order], b[order]
+    first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.empty(0, np.int64)
+    pairs = pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return pa.array(rank[first], pa.int64()), pa.ListArray.from_arrays(pa.array(np.append(first, len(rank)).astype(np.int32)), pairs)
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for t in _chunks(batches, ("hash",)):
-        _, _, of, place, repeat = _windows(t)
-        r, a, b = _runs_of(of[repeat], place[repeat])
-        yield pa.RecordBatch.from_arrays([pa.array(r), pa.array(a), pa.array(b)], ["rank", "a", "b"])
+        yield pa.RecordBatch.from_arrays(list(_listed(*_judge(t)[:3])), ["rank", "spans"])
 
 
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A deal of a hot bucket: the spans that repeat within the deal, and the stretches that hold an earliest window."""
-    names = ["hash", "rank", "start", "bytes", "a", "b"]
+    """Deals of hot buckets: the spans that repeat within what a task holds, and the stretches that hold an earliest window there."""
+    names = ["hash", "rank", "start", "bytes", "spans"]
     for t in _chunks(batches, ("hash", "deal")):
-        deal = t.column("deal").to_numpy()
-        keys = t.column("hash").to_numpy()
-        edges = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (deal[1:] != deal[:-1]), [True])))
-        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            part = t.slice(i, j - i)
-            row, _, of, place, repeat = _windows(part)
-            r, a, b = _runs_of(of[repeat], place[repeat])
-            n = len(r)
-            none = pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(r), none, pa.nulls(n, pa.binary()), pa.array(a), pa.array(b)], names)
-            keep = part.take(pa.array(np.unique(row[~repeat]))).select(["hash", "rank", "start", "bytes"]).combine_chunks()
-            n = keep.num_rows
-            if n:
-                batch = keep.to_batches()[0]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+        r, a, b, rows = _judge(t)
+        rank, spans = _listed(r, a, b)
+        n = len(rank)
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), rank, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), spans], names)
+        keep = t.take(pa.array(rows)).select(names[:4]).combine_chunks()
+        for batch in keep.to_batches():
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, spans.type)], names)
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -264,7 +305,7 @@ def _ranked(docs: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Texts (rank, doc_id, bytes), ranks of exact copies, and the spans (rank, a, b) to remove from the others."""
+    """Texts (rank, doc_id, bytes), ranks of exact copies, and lists of spans (rank, spans) to remove from the others."""
     spark = common.prepare(docs.sparkSession)
     width = common.width(spark)
     texts = _ranked(docs)
@@ -273,7 +314,7 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     firsts = digests.groupBy("digest").agg(F.min("rank").alias("rank"), F.count("*").alias("n")).where("n > 1")
     copies = common.stored(digests.join(firsts.withColumnRenamed("rank", "least"), "digest").where("rank <> least").select("rank"), "copies")
     first_texts = long.join(F.broadcast(copies) if copies.count() * 8 <= 8 << 20 else copies, "rank", "left_anti").select("rank", "bytes")
-    anchors = first_texts.mapInArrow(_emit_anchors, "rank long, hash long, number int")
+    anchors = common.stored(first_texts.mapInArrow(_emit_anchors, "rank long, hash long, number int"), "anchors")
     counted = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").withColumn("deals", F.ceil(F.col("n") / HOT).cast("int")).select("hash", "deals")
     flagged = anchors.join(counted, "hash").groupBy("rank").agg(F.collect_list(F.struct("number", "deals")).alias("anchors"))  # at most one for every few bytes of the text itself
     flagged = common.stored(flagged, "flagged")
@@ -282,9 +323,9 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     cold, hot = sent.where("deal < 0").select("hash", "rank", "start", "bytes"), sent.where("deal >= 0")
     order = lambda df, *k: df.repartition(width, *k).sortWithinPartitions(*k)
     if hot.take(1):
-        thin = common.stored(order(hot, "hash", "deal").mapInArrow(_thin, "hash long, rank long, start long, bytes binary, a long, b long"), "thin")
-        cold = cold.unionByName(thin.where("a is null").select("hash", "rank", "start", "bytes"))
-        early = thin.where("a is not null").select("rank", "a", "b")
+        thin = common.stored(order(hot, "hash", "deal").mapInArrow(_thin, f"hash long, rank long, start long, bytes binary, {SPANS.partition(', ')[2]}"), "thin")
+        cold = cold.unionByName(thin.where("spans is null").select("hash", "rank", "start", "bytes"))
+        early = thin.where("spans is not null").select("rank", "spans")
     else:
         early = None
     spans = order(cold, "hash").mapInArrow(_spans, SPANS)
@@ -294,7 +335,7 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def remove(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of docs (doc_id, text)."""
     texts, copies, spans = find(docs)
-    spans = common.stored(spans.groupBy("rank").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")  # of one document each, fewer than its bytes
+    spans = common.stored(spans.groupBy("rank").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")  # of one document each, fewer than its bytes
     whole = texts.join(copies, "rank", "left_semi").select("doc_id", F.length("bytes").cast("long").alias("n_bytes"), F.length("bytes").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(b""), 256).alias("kept_sha256"))
     cut = texts.join(copies, "rank", "left_anti").join(spans, "rank", "left").select("doc_id", "bytes", "spans").mapInArrow(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return cut.unionByName(whole)
