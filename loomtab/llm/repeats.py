@@ -15,7 +15,8 @@ q-gram bucket: a window can repeat only where its anchor's hash repeats, so
 4. in each final bucket all windows but the earliest are repeats; their bytes go.
 
 A bucket that is hot (a passage that very many documents share) is dealt to several tasks first, each of which passes
-on only the stretches that hold a window's earliest place among its own.
+on only the windows that are earliest among its own. These meet by their own bytes (two 64-bit hashes), not by anchor: so
+texts that share the passage but differ around it spread over tasks, and one window meets at most once a deal.
 
 Defined cases: null text is empty; a text of fewer than WINDOW bytes loses nothing; rows that share a doc_id are read
 in the order of their text, as separate documents; repeated rows are copies of the first; rows without doc_id come after
@@ -38,6 +39,8 @@ WINDOW = 100
 GRAM = 20
 #: First bucket width of the suffix sort; doubled by each refinement.
 FIRST = 25
+#: Values that stand for the bytes in a window's second hash.
+SECOND = textops.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(textops.STEP))
 #: Anchors of one hash beyond which it is dealt to several tasks first, so many to each.
 HOT = 5_000
 
@@ -110,11 +113,12 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, deals_of = (lists.flatten().field(i).to_numpy() for i in (0, 1))
         ends = np.cumsum(lists.value_lengths().to_numpy())
         hashes, deal, starts, cut = [], [], [], []
-        for rank, b, i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+        mixed = (textops.mix(batch.column(0).to_numpy().astype(np.uint64)) >> np.uint64(33)).astype(np.int32)
+        for spread, b, i, j in zip(mixed.tolist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
             h, first, last = _anchors(np.frombuffer(b, np.uint8))
             which, deals = numbers[i:j], deals_of[i:j]
             hashes.append(h[which])
-            deal.append(np.where(deals > 1, rank % deals, -1))
+            deal.append(np.where(deals > 1, spread % deals, -1))
             starts.append(first[which])
             cut += [b[x : y + WINDOW] for x, y in zip(first[which].tolist(), last[which].tolist(), strict=True)]
         if cut:
@@ -154,8 +158,9 @@ def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: in
     return bucket[starts]
 
 
-def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows (hash, rank, start, bytes): repeated bytes as (rank, first byte, end byte), and the rows that hold an earliest window.
+def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (hash, rank, start, bytes): repeated bytes as (rank, first byte, end byte); rows of which each window is the
+    earliest, and the earliest windows of other rows as (row, place in it).
 
     Of equal stretches only the earliest can hold an earliest window: the others are repeats from end to end. The
     earliest ones of a bucket are told apart window by window, if there are several.
@@ -174,7 +179,7 @@ def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     spans = [(rank[copy], start[copy], start[copy] + size[copy])]
     _, bucket, members = np.unique(keys[lead], return_inverse=True, return_counts=True)
     several = lead[members[bucket] > 1]
-    kept = np.ones(len(lead), bool)
+    early = (np.empty(0, np.int64), np.empty(0, np.int64))
     if len(several):
         data = np.frombuffer(b"".join([pieces[i] for i in several.tolist()]), np.uint8)
         count = size[several] - WINDOW + 1
@@ -188,9 +193,26 @@ def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         repeat = np.ones(len(order), bool)
         repeat[order[np.concatenate(([True], ordered[1:] != ordered[:-1]))]] = False
         spans.append(_runs_of(of[repeat], place[repeat]))
-        kept = (members[bucket] == 1) | np.isin(lead, several[np.unique(row[~repeat])])
+        early = several[row[~repeat]], within[~repeat]
     r, a, b = (np.concatenate(x) for x in zip(*spans, strict=True))
-    return r, a, b, lead[kept]
+    return r, a, b, lead[members[bucket] == 1], *early
+
+
+def _windows(table: pa.Table, whole: np.ndarray, row: np.ndarray, within: np.ndarray) -> pa.RecordBatch:
+    """(rank, start, w, v) of all windows of whole rows and of the windows at the given places; w and v are hashes of the window."""
+    used = np.unique(np.concatenate((whole, row)))
+    t = table.take(pa.array(used))
+    pieces = t.column("bytes").to_pylist()
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    count = np.where(np.isin(used, whole), size - WINDOW + 1, 0)
+    every = np.repeat(np.arange(len(used)), count)
+    of = np.concatenate((every, np.searchsorted(used, row)))
+    within = np.concatenate((np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count), within))
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    at = (np.cumsum(size) - size)[of] + within
+    w, v = (textops.window_hashes(x, WINDOW)[at].view(np.int64) for x in (data, SECOND[data]))
+    rank, start = (t.column(c).to_numpy()[of] for c in ("rank", "start"))
+    return pa.RecordBatch.from_arrays([pa.array(rank), pa.array(start + within), pa.array(w), pa.array(v)], ["rank", "start", "w", "v"])
 
 
 def _runs_of(of: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,17 +270,30 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(_listed(*_judge(t)[:3])), ["rank", "spans"])
 
 
+#: Windows of one Arrow batch.
+WINDOW_ROWS = 1 << 15
+
+
 def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Deals of hot buckets: the spans that repeat within what a task holds, and the stretches that hold an earliest window there."""
-    names = ["hash", "rank", "start", "bytes", "spans"]
+    """Deals of hot buckets: the spans that repeat within what a task holds, and the windows that are earliest there."""
+    names = ["rank", "start", "w", "v", "spans"]
     for t in _chunks(batches, ("hash", "deal")):
-        r, a, b, rows = _judge(t)
+        r, a, b, *early = _judge(t)
         rank, spans = _listed(r, a, b)
-        n = len(rank)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), rank, pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), spans], names)
-        keep = t.take(pa.array(rows)).select(names[:4]).combine_chunks()
-        for batch in keep.to_batches():
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, spans.type)], names)
+        none = pa.nulls(len(rank), pa.int64())
+        yield pa.RecordBatch.from_arrays([rank, none, none, none, spans], names)
+        windows = _windows(t, *early)
+        for i in range(0, windows.num_rows, WINDOW_ROWS):
+            part = windows.slice(i, WINDOW_ROWS)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.nulls(part.num_rows, spans.type)], names)
+
+
+def _across(windows: DataFrame) -> DataFrame:
+    """(rank, spans) of the windows (rank, start, w, v) that have an earlier equal."""
+    first = F.min(F.struct("rank", "start")).alias("first")
+    firsts = windows.groupBy("w", "v").agg(first, F.count("*").alias("n")).where("n > 1").select("w", "v", "first")
+    later = windows.join(firsts, ["w", "v"]).where("first.rank <> rank or first.start <> start")
+    return later.select("rank", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b"))).alias("spans"))
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -323,9 +358,8 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     cold, hot = sent.where("deal < 0").select("hash", "rank", "start", "bytes"), sent.where("deal >= 0")
     order = lambda df, *k: df.repartition(width, *k).sortWithinPartitions(*k)
     if hot.take(1):
-        thin = common.stored(order(hot, "hash", "deal").mapInArrow(_thin, f"hash long, rank long, start long, bytes binary, {SPANS.partition(', ')[2]}"), "thin")
-        cold = cold.unionByName(thin.where("spans is null").select("hash", "rank", "start", "bytes"))
-        early = thin.where("spans is not null").select("rank", "spans")
+        thin = common.stored(order(hot, "hash", "deal").mapInArrow(_thin, f"rank long, start long, w long, v long, {SPANS.partition(', ')[2]}"), "thin")
+        early = thin.where("spans is not null").select("rank", "spans").unionByName(_across(thin.where("spans is null").select("rank", "start", "w", "v")))
     else:
         early = None
     spans = order(cold, "hash").mapInArrow(_spans, SPANS)

@@ -211,6 +211,21 @@ def test_hot_and_periodic_repeats(spark, monkeypatch):
     assert {k: tuple(r)[1:] for k, r in out.items()} == kept({k: t.encode() for k, t in texts.items()})
 
 
+def test_hot_anchor_in_texts_that_differ(spark, monkeypatch):
+    """What passes on from a hot bucket spreads: no key of the second pass gets more rows than there were deals."""
+    monkeypatch.setattr(repeats, "HOT", 10)
+    passed, stored = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, tag: passed.append(stored(df, tag)) or passed[-1] if tag == "thin" else stored(df, tag))
+    line = "License: to be used as it is, without warranty. "
+    texts = {i: " ".join(str((i + 3) ** k % 999983) for k in range(2, 20)) + line + " ".join(str((i % 50 + 7) ** k % 999979) for k in range(2, 20)) for i in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = got(repeats.remove(df))
+    assert {k: tuple(r)[1:] for k, r in out.items()} == kept({k: t.encode() for k, t in texts.items()})
+    key = [c for c in ("hash", "w", "v") if c in passed[0].columns]
+    most = passed[0].where("spans is null").groupBy(*key).count().agg(F.max("count")).first()[0]
+    assert most <= 6
+
+
 def test_op10(spark):
     out = got(registry.queries()["op10_toxicity_mil"](spark, "/root/testdata/sf0.01"))
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
