@@ -11,8 +11,10 @@ similarity of their sets is at least 0.75; the classes are the connected compone
    them be linked to an untied member) and branch again; at the last level what is left of a large node is tied
    together. The number of trees follows from the recall wanted of a pair at the threshold.
 3. The ties only say what may belong together. Their connected components are groups; in each group links are confirmed
-   on the full sets. Groups too large for one task are resolved by rounds against a leader: members linked to it leave,
-   except those that the triangle inequality of the Jaccard distance cannot rule out as partners of the others.
+   on the full sets. Groups too large for one task are split first: with shingles ordered from rare to common, linked
+   sets share one among their first quarter, so members that share none there part. What is still too large is resolved
+   by rounds against batches of leaders: leaders leave, and members linked to one leave too, except those that the
+   triangle inequality of the Jaccard distance cannot rule out as partners of the others.
 
 Nothing emits all pairs of a group: a node or group of n members gives at most n - 1 ties or links.
 
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common, textops
@@ -49,8 +51,8 @@ LARGE_TIE = 0.3
 SLACK = 0.125
 #: Shingles of a group that one task holds (8 bytes each); larger groups are resolved by rounds.
 GROUP_SHINGLES = 2_000_000
-#: Full sets of leaders sent to all executors, in bytes; beyond it they are joined.
-LEADER_BYTES = 32 << 20
+#: Shingles of a group's leaders in one round, about; a task holds them beside the members of one deal.
+LEADER_SHINGLES = 500_000
 
 
 def trees(recall: float = RECALL, similarity: float = NUMERATOR / DENOMINATOR, depth: int = DEPTH) -> int:
@@ -279,49 +281,146 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
 
-def _against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, id, text, n_shingles, leader, leader's text) with the shared and joint sizes of both sets."""
-    held, own = None, None
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, id, text, row) to (group, id, row, size, element) for each shingle of the set."""
     for batch in batches:
-        shared, joint = [], []
-        leaders = batch.column(4).to_pylist()
-        for i, (s, leader) in enumerate(zip(textops.shingles(common.text_bytes(batch.column(2))), leaders, strict=True)):
-            if leader != held:
-                held, own = leader, textops.shingles([(batch.column(5)[i].as_py() or "").encode()])[0]
-            c = len(np.intersect1d(s, own, assume_unique=True))
-            shared.append(c)
-            joint.append(len(s) + len(own) - c)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(shared, pa.int64()), pa.array(joint, pa.int64())], ["group", "id", "text", "n_shingles", "leader", "shared", "joint"])
-
-
-def _by_rounds(large: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
-    """Links to leaders, round by round, and the remainder once its groups are small. large: (group, id, text, n_shingles)."""
-    links: list[DataFrame] = []
-    rest: DataFrame | None = None
-    work = common.stored(large.withColumn("old", F.lit(False)), "large")
-    while True:
-        # a leader is one that no round has tied yet, so each round settles one member of a group at least
-        leaders = work.where("not old").groupBy("group").agg(F.min_by(F.struct(F.col("id").alias("leader"), F.col("text").alias("of_leader")), "id").alias("l")).select("group", "l.*")
-        leaders = common.stored(leaders, "leaders")
-        size = leaders.agg(F.sum(F.length("of_leader") * 4 + 64)).first()[0]
-        if not size:
-            return links, rest
-        side = F.broadcast(leaders) if size <= LEADER_BYTES else leaders
-        seen = work.join(side, "group").select("group", "id", "text", "n_shingles", "leader", "of_leader")
-        seen = common.stored(seen.mapInArrow(_against_leader, "group long, id long, text string, n_shingles long, leader long, shared long, joint long"), "round")
-        linked = DENOMINATOR * F.col("shared") >= NUMERATOR * F.col("joint")
-        links.append(seen.where(linked & F.expr("id <> leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")))
-        distance = 1 - F.col("shared") / F.col("joint")
-        others = seen.where(~linked).groupBy("group").agg(F.min(distance).alias("nearest"))
+        sets = textops.shingles(common.text_bytes(batch.column(2)))
+        sizes = np.array([len(x) for x in sets], np.int64)
+        at = np.repeat(np.arange(len(sets)), sizes)
+        element = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at)) for c in (0, 1, 3)), pa.array(sizes[at]), pa.array(element)], ["group", "id", "row", "size", "element"])
+
+
+def _split(large: DataFrame) -> DataFrame:
+    """large (group, id, text, n_shingles, row) in new groups that hold every link of the old ones; ids without partners are dropped.
+
+    Linked sets of a and b elements share at least 0.75 a and 0.75 b. So in any one order of the elements, their first
+    common one is among the first a - ceil(0.75 a) + 1 of the one set and the like of the other. Rare elements come first,
+    so what very many members share counts only for those that have little else.
+    """
+    elements = common.stored(large.select("group", "id", "text", "row").mapInArrow(_elements, "group long, id long, row long, size long, element long"), "elements")
+    often = elements.groupBy("group", "element").agg(F.count("*").alias("n")).where("n > 1")
+    shared = common.stored(elements.join(often, ["group", "element"]), "shared")
+    # elements of no other member come first of all
+    first = F.expr(f"size - (size * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR} + 1")
+    counts = shared.groupBy("row", "size").agg(F.count("*").alias("common"))
+    room = counts.select("row", (first - (F.col("size") - F.col("common"))).alias("room")).where("room > 0")
+    place = F.row_number().over(Window.partitionBy("row").orderBy("n", "element"))
+    heads = common.stored(shared.join(room, "row").withColumn("place", place).where("place <= room").select("group", "element", "id"), "heads")
+    least = heads.groupBy("group", "element").agg(F.min("id").alias("a"))
+    parts = connected(heads.join(least, ["group", "element"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    return large.drop("group").join(parts.withColumnRenamed("component", "group"), "id").select("group", "id", "text", "n_shingles")
+
+
+def _against_leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, deal, member, id, text) in runs of group and deal, each with its leaders before its members.
+
+    To rows (a, b) of links; (id, leader, distance) of every member, with the nearest leader it is linked to, or none; and
+    (leader, distance) of the nearest member that is not linked to the leader's class.
+    """
+    names = ["a", "b", "id", "leader", "distance"]
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if k == "distance" else pa.int64()) for k, c in zip(names, cols, strict=True)], names)
+
+    key, index = None, None
+    for batch in batches:
+        groups, deals, members, ids = (batch.column(i).to_pylist() for i in range(4))
+        out: list[tuple] = []
+        for i, own in enumerate(textops.shingles(common.text_bytes(batch.column(4)))):
+            if (groups[i], deals[i]) != key:
+                if index is not None:
+                    out += index.nearest()
+                key, index = (groups[i], deals[i]), Leaders(first=deals[i] == 0)
+            if len(own):
+                out += index.compare(ids[i], own) if members[i] else index.add(ids[i], own)
+        yield table(out)
+    if index is not None:
+        yield table(index.nearest())
+
+
+class Leaders:
+    """The leaders of a group in one round, with their links among themselves, and the postings of their elements."""
+
+    def __init__(self, first: bool):
+        self.first = first  # only the first deal lists the links among leaders
+        self.ids: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.root: np.ndarray | None = None
+
+    def add(self, number: int, own: np.ndarray) -> list[tuple]:
+        self.ids.append(number)
+        self.sets.append(own)
+        return []
+
+    def _close(self) -> list[tuple]:
+        self.root = resolve_group(self.sets)
+        self.sizes = np.array([len(x) for x in self.sets])
+        owner = np.repeat(np.arange(len(self.sets)), self.sizes)
+        self.elements, element = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self.posting = owner[np.argsort(element, kind="stable")]
+        self.bounds = np.concatenate(([0], np.cumsum(np.bincount(element))))
+        self.near = np.full(len(self.sets), np.inf)
+        self.sets = []
+        if not self.first:
+            return []
+        return [(self.ids[r], self.ids[k], None, None, None) for k, r in enumerate(self.root.tolist()) if r != k]
+
+    def compare(self, number: int, own: np.ndarray) -> list[tuple]:
+        out = self._close() if self.root is None else []
+        at = np.searchsorted(self.elements, own)
+        at = at[self.elements[np.minimum(at, len(self.elements) - 1)] == own]
+        counts = self.bounds[at + 1] - self.bounds[at]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(at) else 0
+        shared = np.bincount(self.posting[np.repeat(self.bounds[at] - ends + counts, counts) + np.arange(total)], minlength=len(self.ids))
+        distance = 1 - shared / (len(own) + self.sizes - shared)
+        linked = np.flatnonzero(_linked(shared, len(own), self.sizes))
+        classes = np.unique(self.root[linked])
+        out += [(self.ids[r], number, None, None, None) for r in classes.tolist()]
+        apart = ~np.isin(self.root, classes)
+        self.near[apart] = np.minimum(self.near[apart], distance[apart])
+        best = linked[distance[linked].argmin()] if len(linked) else None
+        out.append((None, None, number, None if best is None else self.ids[best], None if best is None else float(distance[best])))
+        return out
+
+    def nearest(self) -> list[tuple]:
+        out = self._close() if self.root is None else []
+        return out + [(None, None, None, self.ids[k], float(d)) for k, d in enumerate(self.near.tolist()) if d < np.inf]
+
+
+def _by_rounds(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links found in rounds against leaders, and the remainder once its groups are small. large: (group, id, text, n_shingles, total)."""
+    spark = large.sparkSession
+    links_at, rest_at = common.new_path(spark, "links"), common.new_path(spark, "rest")
+    empty = large.limit(0)
+    empty.select(F.col("group").alias("a"), F.col("id").alias("b")).write.mode("append").parquet(links_at)
+    empty.select("group", "id", "text").write.mode("append").parquet(rest_at)
+    work = common.stored(large, "rounds")
+    nth = 0
+    while work.take(1):
+        nth += 1
+        # leaders are drawn by hash; the least one leads in any case, so each round settles one member of a group at least
+        chance = F.pmod(F.xxhash64("id", F.lit(nth)), F.lit(1 << 20)) / (1 << 20)
+        least = work.groupBy("group").agg(F.min("id").alias("least"))
+        dealt = work.join(least, "group").withColumn("deals", F.ceil(F.col("total") / GROUP_SHINGLES).cast("int"))
+        dealt = dealt.withColumn("member", ~((chance < F.lit(LEADER_SHINGLES) / F.col("total")) | F.expr("id = least")))
+        to = F.when(F.col("member"), F.array(F.pmod(F.xxhash64("id"), "deals").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("deals") - 1))
+        dealt = dealt.select("group", F.explode(to).alias("deal"), "member", "id", "text")
+        ordered = dealt.repartition(common.width(spark), "group", "deal").sortWithinPartitions("group", "deal", "member", "id")
+        seen = common.stored(ordered.mapInArrow(_against_leaders, "a long, b long, id long, leader long, distance double"), "round")
+        seen.where("a is not null").select("a", "b").write.mode("append").parquet(links_at)
+        nearest = seen.where("id is null and leader is not null").groupBy("leader").agg(F.min("distance").alias("nearest"))
         slack = 1 - NUMERATOR / DENOMINATOR + 1e-9
-        after = seen.withColumn("linked", linked).withColumn("distance", distance).join(others, "group")  # groups without others are done
-        after = after.where(~F.col("linked") | ((F.col("distance") >= F.col("nearest") - slack) & F.expr("id <> leader")))
-        after = after.select("group", "id", "text", "n_shingles", F.col("linked").alias("old"))
-        sizes = after.groupBy("group").agg(F.sum("n_shingles").alias("total"))
-        after = common.stored(after.join(sizes, "group"), "after")
-        few = after.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text")
-        rest = few if rest is None else rest.unionByName(few)
-        work = after.where(F.col("total") > GROUP_SHINGLES).drop("total")
+        # a linked member is needed further only if one outside its leader's class could be linked to it
+        open_ = seen.where("id is not null").join(nearest, "leader", "left").where(F.col("leader").isNull() | (F.col("distance") >= F.col("nearest") - slack)).select("id")
+        after = work.drop("total").join(open_, "id", "left_semi")
+        totals = after.groupBy("group").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("n")).where("n > 1").drop("n")
+        after = common.stored(after.join(totals, "group").select("group", "id", "text", "n_shingles", "total"), "after")
+        after.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text").write.mode("append").parquet(rest_at)
+        work = after.where(F.col("total") > GROUP_SHINGLES)
+    return spark.read.schema("a long, b long").parquet(links_at), spark.read.schema("group long, id long, text string").parquet(rest_at)
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -338,15 +437,18 @@ def components(docs: DataFrame) -> DataFrame:
     members = common.stored(sizes.join(totals, "group"), "members")
     texts = docs.join(members, docs.doc_id == members.id).select("group", "id", "text", "n_shingles", "total")
     small = texts.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text")
-    links: list[DataFrame] = []
+    links = None
     if members.where(F.col("total") > GROUP_SHINGLES).take(1):
-        more, rest = _by_rounds(texts.where(F.col("total") > GROUP_SHINGLES).select("group", "id", "text", "n_shingles"))
-        links += more
-        small = small if rest is None else small.unionByName(rest)
+        large = texts.where(F.col("total") > GROUP_SHINGLES).select("group", "id", "text", "n_shingles").withColumn("row", F.monotonically_increasing_id())
+        parts = common.stored(_split(common.stored(large, "large")), "parts")
+        totals = parts.groupBy("group").agg(F.sum("n_shingles").alias("total"))
+        parts = parts.join(totals, "group")
+        links, rest = _by_rounds(parts.where(F.col("total") > GROUP_SHINGLES))
+        small = small.unionByName(parts.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text")).unionByName(rest)
     ordered = small.repartition(common.width(spark), "group").sortWithinPartitions("group", "id")
     confirmed = ordered.mapInArrow(_resolve, "a long, b long")
-    for df in links:
-        confirmed = confirmed.unionByName(df)
+    if links is not None:
+        confirmed = confirmed.unionByName(links)
     # rows of one doc_id with different texts are one document
     same = full.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
     own = full.join(same, "doc_id", "left_semi").join(classes.select("digest", "id"), "digest").where("doc_id <> id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))

@@ -102,6 +102,28 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     assert {k: (r["n_shingles"], r["component_id"]) for k, r in out.items()} == components(texts)
 
 
+def test_large_group_without_links(spark, monkeypatch):
+    """Pages that share half their shingles part before any leader is used, and leaders are used many at a time."""
+    monkeypatch.setattr(neardup, "NODE_MAX", 4)
+    monkeypatch.setattr(neardup, "GROUP_SHINGLES", 400)
+    monkeypatch.setattr(neardup, "LEADER_SHINGLES", 300, raising=False)
+    tags, stored = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, tag: tags.append(tag) or stored(df, tag))
+    menu = " ".join(f"menu{i}" for i in range(30))
+    texts = {n: menu + " " + " ".join(f"p{n}w{i}" for i in range(20)) for n in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = got(neardup.components(df))
+    assert {k: (r["n_shingles"], r["component_id"]) for k, r in out.items()} == components(texts)
+    assert "members" in tags and tags.count("round") == 0
+    # without the split, leaders settle the group in far fewer rounds than it has members
+    monkeypatch.setattr(neardup, "_split", lambda large: large.drop("row"))
+    texts |= {100 + n: texts[n] + " more" for n in range(4)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = got(neardup.components(df))
+    assert {k: (r["n_shingles"], r["component_id"]) for k, r in out.items()} == components(texts)
+    assert 0 < tags.count("round") <= 6
+
+
 def test_op5(spark):
     df = registry.queries()["op5_token_rollups"](spark, DIR)
     want = duck(DIR).sql(registry.oracle_sql()["op5_token_rollups"])
