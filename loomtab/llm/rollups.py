@@ -130,10 +130,11 @@ def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after five commits over all documents, one of them a replay.
 
     1 inserts all documents under `words-1`; 2 inserts all under `units-1`; 3 deletes the short ones under both; 4
-    revises the counts of long ones under `words-1`; then 3 comes again.
+    revises the counts of long ones under `words-1`; then 3 comes again. Each row of the table is a document of its own,
+    under a number that is stored with its counts, so rows of null or repeated doc_id count each.
     """
-    docs = common.documents(spark, sf_dir, "doc_id", "source", "lang", "text")
-    counted = common.stored(docs.select("doc_id", "source", "lang", count_words(F.col("text")).alias("words"), count_units(F.col("text")).alias("units")), "counts")
+    docs = common.documents(spark, sf_dir, "source", "lang", "text")
+    counted = common.stored(docs.select(F.monotonically_increasing_id().alias("doc_id"), "source", "lang", count_words(F.col("text")).alias("words"), count_units(F.col("text")).alias("units")), "counts")
     ledger = Ledger(spark, common.new_path(spark, "ledger"))
     ledger.commit(1, events(counted, "insert", "words-1", F.col("words")))
     ledger.commit(2, events(counted, "insert", "units-1", F.col("units")))

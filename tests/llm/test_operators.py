@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,17 @@ def test_ledger_is_idempotent(spark):
     assert [r["n_tokens"] for r in n] == [2, 0]
 
 
+def test_rollups_of_null_and_repeated_ids(spark, tmp_path):
+    rows = [(1, "word " * 60, "en", "s"), (1, "word " * 60, "en", "s"), (1, "other " * 70, "en", "s"), (None, "word " * 60, "en", "s"), (None, "word " * 80, "de", None), (2, "short", "en", "s")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = registry.queries()["op5_token_rollups"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(registry.oracle_sql()["op5_token_rollups"])
+    as_rows = lambda data: sorted(map(str, map(tuple, data)))
+    assert as_rows(df.select(*want.columns).collect()) == as_rows(want.fetchall())
+
+
 def test_op6(spark, docs):
     out = registry.queries()["op6_best_fit_packing"](spark, DIR).collect()
     encode = tokens.encoder(packing.VOCABULARY)._encode
