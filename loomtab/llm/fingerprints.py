@@ -106,7 +106,8 @@ def _block_starts(docs: DataFrame, blocks: int) -> list[int]:
 
 
 def compare_with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
-    """Fingerprints of each text, of the text with its second half replaced from the next document, and both likenesses.
+    """Fingerprints of each text, of the text with its second half replaced from the next document, both likenesses,
+    the estimated number of distinct shingles of the text, and the containment of the edited text in it and of it in the edited.
 
     The order is descending doc_id. The ids are cut into blocks; a block also receives the first row of the block after
     it, so one shuffle by block gives every document its neighbour, and a task streams through sorted blocks.
@@ -139,14 +140,14 @@ def compare_with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
 
     dealt = docs.where("doc_id is not null").mapInArrow(deal, "block int, guest boolean, doc_id long, text string")
     ordered = dealt.repartition(common.width(spark), "block").sortWithinPartitions("block", "guest", F.col("doc_id").desc(), "text")
-    return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_distinct double, edited_in_own double, own_in_edited double")
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: the documents of a block, then its guest (several if the guest's row is repeated: the first counts)."""
     held: tuple | None = None
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_distinct", "edited_in_own", "own_in_edited"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 5]
     for batch in batches:
         blocks, guests, ids = (batch.column(i).to_pylist() for i in range(3))
         texts = batch.column(3).to_pylist()
@@ -160,7 +161,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for (a, b), e, h in zip(pairs, edited, textops.shingles([e.encode() for e in edited]), strict=True):
             own = sketch(h)
-            rows.append((a[2], len(a[3]), hashlib.sha256(e.encode()).hexdigest(), to_text(a[4]), to_text(own), resemblance(a[4], own), resemblance(a[4], b[4])))
+            rows.append((a[2], len(a[3]), hashlib.sha256(e.encode()).hexdigest(), to_text(a[4]), to_text(own), resemblance(a[4], own), resemblance(a[4], b[4]), distinct_count(a[4]), containment(own, a[4]), containment(a[4], own)))
         cols = list(zip(*rows, strict=True)) or [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 

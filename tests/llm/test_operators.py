@@ -79,6 +79,16 @@ def test_op3(spark, docs):
         assert out[k]["near_next"] == fingerprints.resemblance(sets[k][: fingerprints.K], sets[following][: fingerprints.K])
 
 
+def test_fingerprints_count_and_contain(spark):
+    """Sets of fewer than K shingles are held whole, so counts and containments are exact."""
+    texts = {1: " ".join(f"a{i}" for i in range(40)), 2: " ".join(f"b{i}" for i in range(60))}
+    out = got(fingerprints.compare_with_next(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    for k, following in ((1, 2), (2, 1)):
+        own, edited = (set(textops.shingles([t.encode()])[0].tolist()) for t in (texts[k], fingerprints._half(texts[k], texts[following])))
+        assert out[k]["n_distinct"] == len(own)
+        assert out[k]["edited_in_own"] == pytest.approx(len(own & edited) / len(edited)) and out[k]["own_in_edited"] == pytest.approx(len(own & edited) / len(own))
+
+
 def test_op4(spark, docs):
     out = got(registry.queries()["op4_chosen_path_dedup"](spark, DIR))
     assert {k: (r["n_shingles"], r["component_id"]) for k, r in out.items()} == components(docs)
