@@ -2,8 +2,9 @@
 
 A text is cut where the tokenizer itself always cuts (before a space that follows a word; between a word and the
 punctuation that ends it), so the ids of the pieces, joined, are the ids of the text. Pieces are kept in a bounded
-cache that outlives the task, because most words of a text occur in others. A text with unusual white space, and any
-text under a tokenizer of another kind, is encoded whole.
+cache that outlives the task, because most words of a text occur in others. A text with unusual white space or with the
+content of an added token (which the tokenizer takes as that token), and any text under a tokenizer of another kind, is
+encoded whole.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import re
 from functools import lru_cache
 
 #: Entries of a worker's cache of encoded pieces; when full it starts afresh.
-CACHE = 1_000_000
+CACHE = 500_000
 LONG_PIECE = 64
 
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -46,7 +47,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(resolve(path))
-        self.tokenizer.encode_special_tokens = True
+        added = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content}
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.kind = self._kind()
         self.cut = CUTS.get(self.kind)
         self.cache: dict[str, bytes] = {}
@@ -87,7 +89,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if self.cut is None or ODD_SPACE.search(text):
+        if self.cut is None or ODD_SPACE.search(text) or (self.added and self.added.search(text.lower())):
             return self._encode([text])[0]
         if self.kind == "word" and not WIDE.search(text):
             text = text.lower()
