@@ -6,16 +6,21 @@ import io
 import os
 import tempfile
 import uuid
+import weakref
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch. Texts can be long, so a batch of the default 10,000 rows could fill a worker.
-BATCH_ROWS = 256
+#: Rows and bytes of one Arrow batch, whichever comes first. Texts can be long, so a batch of the default 10,000 rows could fill a worker.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
+#: Input of one shuffle partition, about, where the session's number of partitions would leave more.
+PART_BYTES = 1 << 30
 
 _SHIPPED: set[str] = set()
+#: Where the stored tables lie, for as long as somebody holds them.
+_STORED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -35,18 +40,22 @@ def prepare(spark: SparkSession) -> SparkSession:
         Path(where).write_bytes(data.getvalue())
         spark.sparkContext.addPyFile(where)
         _SHIPPED.add(app)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int("0" + "".join(c for c in spark.conf.get(key) if c.isdigit()))  # plans are made when a result is used, so the setting has to stay
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, a new one, in local mode alone."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         base = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = base.get() if base.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -61,12 +70,27 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def width(spark: SparkSession) -> int:
-    """Partitions of a shuffle, as the session has it."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    out = spark.read.schema(df.schema).parquet(path)
+    _STORED[out] = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that `stored` wrote and that nothing will read again."""
+    for df in tables:
+        path = _STORED.pop(df, None)
+        if path:
+            where = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def width(spark: SparkSession, df: DataFrame | None = None) -> int:
+    """Partitions of a shuffle: as the session has it, or more if df's input is so large that each would exceed PART_BYTES."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if df is None:
+        return n
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(n, min(-(-size // PART_BYTES), 100_000))
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import math
 import random
-import zlib
+import re
 
 import numpy as np
 import pytest
@@ -59,6 +59,20 @@ def test_encoding_in_pieces_is_encoding_whole(name):
     assert e.encode("same words same words") == e._encode(["same words same words"])[0]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_are_those_of_the_library(name):
+    """Against a tokenizer loaded afresh from the file, on texts that hold the added tokens' contents, whole and in part."""
+    from tokenizers import Tokenizer
+
+    fresh, e = Tokenizer.from_file(tokens.resolve(name)), tokens.Encoder(name)
+    rng = random.Random(3)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "a", "É", ".,", "'s", "\n", "ſ", "K", "<", "|", ">", "日", "1"]
+    texts = ["a <|endoftext|> b", *("".join(rng.choices(bits, k=rng.randint(1, 9))) for _ in range(5000))]
+    for t in texts:
+        assert np.frombuffer(e.encode(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+    assert fresh.token_to_id("<|endoftext|>") in np.frombuffer(e.encode(texts[0]), "<u4").tolist()
+
+
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=9))
 @settings(max_examples=80, deadline=None)
 def test_packing_bound_and_bins(sizes):
@@ -168,8 +182,6 @@ def test_sketches():
 
 def test_patterns():
     text = "Mail a.b+c@x-y.example.com. @no a@b c@d.e@f.g IP 10.0.0.1 1.2.3.4.5.6.7.8 256.1.1.1 card 4111 1111 1111 1111; 4111-1111-1111-1112 tel +1 (228) 555-1624 +12 345"
-    import re
-
     base = pii.base_spans(text)
     assert [text[s:e] for s, e in base["email"]] == [m[0] for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     assert [text[s:e] for s, e in base["ip"]] == ["10.0.0.1", "1.2.3.4", "5.6.7.8"]
@@ -182,8 +194,6 @@ def test_patterns():
 @given(st.text(alphabet="a1.@-+ %é", max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_patterns_like_plain_expressions(text):
-    import re
-
     plain = {
         "email": [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)],
         "ip": [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))],
@@ -239,6 +249,60 @@ def test_noisy_or_learns_and_locates():
     assert 0 <= toxicity.score_texts(model, [b""])[0] < 0.5
 
 
-def test_recall_of_trees():
+def test_noisy_or_slopes_are_the_derivatives():
+    """Against finite differences of the documents' log-likelihood, written out sentence by sentence."""
+    rng = np.random.default_rng(5)
+    doc = np.repeat(np.arange(40), rng.integers(1, 6, 40))
+    z, y = rng.normal(-1, 1.5, len(doc)), rng.integers(0, 2, 40).astype(float)
+
+    def loss(z):
+        total = 0.0
+        for d in range(40):
+            none = math.prod(1 - 1 / (1 + math.exp(-x)) for x in z[doc == d].tolist())
+            total -= math.log(1 - none) if y[d] else math.log(none)
+        return total
+
+    got = toxicity.slopes(z, 1 / (1 + np.exp(-z)), doc, y)
+    for i in range(len(z)):
+        up, down = z.copy(), z.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        assert got[i] == pytest.approx((loss(up) - loss(down)) / 2e-5, abs=1e-6)
+
+
+def test_scores_are_the_noisy_or_of_the_sentences():
+    """A plain loop over sentences and words, with Python's own strings, gives the same scores."""
+    rng = np.random.default_rng(6)
+    model = toxicity.ToxicityModel(rng.normal(0, 1, 1 << toxicity.BITS).astype(np.float32), -1.0, 9)
+    texts = ["", "One bad Word. And an okay one!", "no stop here", "x?\n\n... y", "Ünder-way again. again", "1 2 3. 4"]
+
+    def buckets(word):
+        parts = [word, *(word[:n] for n in toxicity.PREFIXES)]
+        w = [textops.Words([p], ~toxicity.LETTER, b"\0") for p in parts]
+        hashes = [w[0].hash[0], *(textops.mix(w[k].beginnings(n) + np.uint64(n))[0] for k, n in enumerate(toxicity.PREFIXES, 1))]
+        return [int(h >> np.uint64(64 - toxicity.BITS)) for h in hashes]
+
+    def plain(t):
+        none, some = 1.0, False
+        for sentence in re.split(rb"[.!?\n]", t.encode().lower()):
+            words = re.findall(rb"[a-z\x80-\xff]+", sentence)
+            if words:
+                some = True
+                none *= 1 - 1 / (1 + math.exp(-(model.bias + sum(float(model.weights[b]) for w in words for b in buckets(w)))))
+        return 1 - none if some else 1 / (1 + math.exp(-model.bias))
+
+    assert toxicity.score_texts(model, [t.encode() for t in texts]) == pytest.approx([plain(t) for t in texts], rel=1e-5)
+
+
+def test_number_of_trees():
+    """Pairs at the threshold meet with the wanted probability: paths are walked at random, as the trees would."""
     assert neardup.trees(0.9999) > neardup.trees(0.9)
-    assert zlib.crc32(b"") == 0
+    rng = random.Random(1)
+
+    def meets(depth):
+        if not depth:
+            return True
+        return any(rng.random() < 0.75 and meets(depth - 1) for _ in range(1 + (rng.random() < 1 / 3)))
+
+    share = sum(any(meets(neardup.DEPTH) for _ in range(neardup.trees(0.9))) for _ in range(4000)) / 4000
+    assert share > 0.88

@@ -344,7 +344,9 @@ def test_odd_repeats(odd, empty):
 def test_odd_toxicity(spark, odd, empty):
     labels = spark.createDataFrame([(6, 1), (6, 1), (9, 0), (5, None), (77, 1)], "doc_id long, toxic int")
     model = toxicity.train(odd, labels)
-    assert toxicity.score(odd.drop("score"), model).where("score between 0 and 1").count() == odd.count()
+    scored = toxicity.score(odd, model)  # its own column of that name is replaced
+    assert sorted(scored.columns) == sorted(odd.columns) and scored.where("score between 0 and 1").count() == odd.count()
+    assert toxicity.train(odd, labels, fit_words=1).labelled == 1
     stay = toxicity.keep_clean(odd, model)
     assert stay.columns == odd.columns
     assert toxicity.train(odd, labels.limit(0)).labelled == 0 and toxicity.score(empty.drop("score"), model).count() == 0
