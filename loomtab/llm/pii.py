@@ -1,24 +1,32 @@
-"""Personal data: fixed patterns, and a skip-chain conditional random field that makes repeated mentions agree.
+"""Personal data: fixed patterns, and a skip-chain conditional random field that makes mentions agree over a document.
 
-The patterns give the base spans. Besides them a text mentions the same number or address again in a form that no
-pattern takes (a number without its plus sign, an address without its domain). Tokens that hold a digit or an @ are
-the nodes of a random field: neighbouring nodes are linked in a chain, and distant nodes with equal or similar content
-share a skip edge. Loopy message passing (max-product is not needed: sum-product marginals are thresholded) spreads the
-labels of the base spans, which are observed, over the skip edges. A node that no pattern covers becomes a span when a
-label other than O has most of the marginal and some node of the same content is a base span.
+The patterns give the base spans. Beside them a text mentions a number or address again in a form that no pattern takes (a
+number without its plus sign or written with other separators, an address without its domain), or in a place where a
+pattern fails (a number that runs on into the next one). The nodes of the field are the tokens that hold a digit or an @,
+and the words that equal the local part of an address in the text. Adjacent nodes are linked in a chain; distant nodes of
+equal or similar content share skip edges. The labels of the base spans are observed; loopy message passing gives every
+other node its marginal, and a node where a label other than O has more than SURE of it becomes a span (adjacent nodes of
+one label become one span).
 
-The node weights are fitted (see `train`) on the base labels of all nodes of a bounded, documented sample.
+All potentials (token shapes, label pairs along the chain, agreement over a skip edge) are learnt together, by
+pseudo-likelihood on a bounded, documented sample of the texts. Base labels alone would teach the field that whatever no
+pattern takes is nothing, so mentions in other forms are planted beside the base spans of the sample, as are numbers of
+the same forms that belong to nothing.
 
 Defined cases: null text is empty and has no spans; any length of text is taken whole in linear time; repeated rows get
-equal spans; spans count code points, end exclusive; other columns pass through.
+equal spans; without any text to learn from the field adds nothing; spans count code points, end exclusive; other columns
+pass through `mask`, and are not read by `find`.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +46,15 @@ DIGIT = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 
-#: Documented bound: the field's node weights are fitted on the texts with the smallest hash, so many at most.
+#: Documented bound: the field is fitted on the distinct texts with a digit or an @ that have the smallest hashes, so many at most.
 FIT_DOCS = 2000
 ROUNDS = 8
 LABELS = ("O", *KINDS)
-#: Log-potentials of a skip edge (agreement of equal and of similar content) and of a chain edge.
-SAME, SIMILAR, CHAIN = 3.0, 2.0, 0.3
+#: Marginal from which a node becomes a span.
+SURE = 0.5
+#: Kinds of directed edges: along the chain, against it, equal content, similar content.
+FORTH, BACK, SAME, SIMILAR = range(4)
+ENDS = ".,;:!?()[]<>\"'"
 
 
 def luhn(digits: str) -> bool:
@@ -90,149 +101,273 @@ def _short(ip: str) -> list[str]:
     return [p if len(p) <= 3 else "256" for p in (q.lstrip("0") or "0" for q in ip.split("."))]
 
 
-def _content(token: str) -> tuple[str, str]:
-    """What makes tokens equal, and what makes them similar."""
+def _content(token: str) -> tuple[list[str], list[str]]:
+    """Keys by which tokens are equal, and keys by which they are similar."""
+    core = token.strip(ENDS)
     digits = "".join(c for c in token if "0" <= c <= "9")
     if "@" in token:
-        local = token.split("@")[0].lower().strip(".,;:()<>\"'")
-        return f"@{token.lower().strip('.,;:()<>')}", f"@{local}" if len(local) >= 4 else ""
-    key = token.strip(".,;:!?()[]<>\"'")
-    return (f"#{key}" if len(digits) >= 4 else ""), (f"#{digits[-7:]}" if len(digits) >= 7 else "")
+        local = core.lower().split("@")[0]
+        return [f"@{core.lower()}"], [f"@{local}"] if len(local) >= 4 else []
+    similar = [f"#{digits[-7:]}"] if len(digits) >= 7 else []
+    if len(core) >= 4:
+        similar.append(f"@{core.lower()}")
+    return ([f"#{core}"] if len(digits) >= 4 else []), similar
 
 
-def _shape(token: str) -> list[float]:
-    digits = sum("0" <= c <= "9" for c in token)
-    return [1.0, float("@" in token), float(token.count(".") >= 3 and digits >= 4), float(token.startswith("+")), float(3 <= digits < 7), float(7 <= digits < 13), float(13 <= digits <= 19), float("-" in token and digits >= 7), digits / max(1, len(token)), float("(" in token)]
+def _shape(token: str) -> tuple[float, ...]:
+    core = token.strip(ENDS)
+    digits = "".join(c for c in token if "0" <= c <= "9")
+    n, parts = len(digits), core.split(".")
+    return (
+        1.0, float(n == 0 and "@" not in token), float("@" in token), float("@" in token and "." in token.split("@")[-1].strip(ENDS)),
+        float(len(parts) == 4 and all(p.isdigit() and len(p) <= 3 for p in parts)), float(token.startswith("+")), float("(" in token and n == 3),
+        float(0 < n < 3), float(3 <= n < 7), float(7 <= n < 13), float(13 <= n <= 19), float(13 <= n <= 19 and luhn(digits)), float("-" in core and n >= 7),
+        float("." in core and n >= 7), float(n > 0 and n == len(core)), float(n > 0 and 2 * n < len(core)),
+        float(len(core) > 20 and "@" not in token),
+    )
 
 
 N_SHAPE = len(_shape("0"))
 
 
-class Field:
-    """The nodes and edges of one text."""
+@dataclass(frozen=True)
+class FieldModel:
+    """Log-potentials: shapes x labels; label pairs along the chain; of each label, agreement over equal and over similar content."""
+
+    node: np.ndarray
+    chain: np.ndarray
+    same: np.ndarray
+    similar: np.ndarray
+
+    @classmethod
+    def blank(cls) -> FieldModel:
+        """Adds nothing: every node is O."""
+        k = len(LABELS)
+        node = np.zeros((N_SHAPE, k))
+        node[0, 0] = 20.0
+        return cls(node, np.zeros((k, k)), np.zeros(k), np.zeros(k))
+
+    def factors(self) -> np.ndarray:
+        """exp of the potentials of each kind of directed edge, source label by target label."""
+        agree = lambda w: np.exp(np.diag(w))
+        return np.stack([np.exp(self.chain), np.exp(self.chain.T), agree(self.same), agree(self.similar)])
 
-    def __init__(self, text: str, base: dict[str, list[tuple[int, int]]]):
-        spans = sorted((s, e, k) for k, kind in enumerate(KINDS, 1) for s, e in base[kind])
-        self.nodes: list[tuple[int, int]] = []
+
+class Field:
+    """The nodes and edges of one text. `planted` are further (start, end, label) known to the trainer."""
+
+    def __init__(self, text: str, base: dict[str, list[tuple[int, int]]], planted: list[tuple[int, int, int]] = []):  # noqa: B006
+        spans = sorted([*((s, e, k) for k, kind in enumerate(KINDS, 1) for s, e in base[kind]), *planted])
+        tokens = [m.span() for m in TOKEN.finditer(text)]
+        keys = [_content(text[s:e]) for s, e in tokens]
+        # words that are the local part of an address, or equal to it but for signs around
+        locals_ = {k[1:] for (s, e), (_, similar) in zip(tokens, keys, strict=True) if "@" in text[s:e] for k in similar}
+        words = {w for w in locals_ if not DIGIT.search(w)}
+        if words:
+            there = set(tokens)
+            for m in re.finditer(r"[^\x20\x09-\x0D]{4,}", text):
+                if m.span() not in there and m[0].strip(ENDS).lower() in words:
+                    tokens.append(m.span())
+                    keys.append(_content(m[0]))
+            order = sorted(range(len(tokens)), key=tokens.__getitem__)
+            tokens, keys = [tokens[i] for i in order], [keys[i] for i in order]
+        self.nodes = tokens
         self.label: list[int] = []
         i = 0
-        for m in TOKEN.finditer(text):
-            s, e = m.span()
+        for s, e in tokens:
             while i < len(spans) and spans[i][1] <= s:
                 i += 1
-            self.nodes.append((s, e))
             self.label.append(next((k for a, b, k in spans[i : i + 4] if a < e and b > s), 0))
-        words = [text[s:e] for s, e in self.nodes]
-        self.shape = np.array([_shape(w) for w in words]) if words else np.zeros((0, N_SHAPE))
-        self.same: list[int] = [-1] * len(words)
-        self.edges: list[tuple[int, int, float]] = []
-        last: dict[str, int] = {}
-        first: dict[str, int] = {}
-        for n, w in enumerate(words):
-            if n and self.nodes[n][0] - self.nodes[n - 1][1] <= 1:
-                self.edges.append((n - 1, n, CHAIN))
-            for key, weight in zip(_content(w), (SAME, SIMILAR), strict=True):
-                if key:
-                    if key in last:  # a link to the previous of the same content: a line of links joins all of them
-                        self.edges.append((last[key], n, weight))
-                        self.same[n] = first[key] if self.same[n] < 0 else self.same[n]
-                    else:
-                        first[key] = n
-                    last[key] = n
-
-    def marginals(self, weights: np.ndarray) -> np.ndarray:
+        self.edges: list[tuple[int, int, int]] = []
+        last: dict[tuple[int, str], int] = {}
+        known: dict[tuple[int, str], int] = {}
+        for n, own in enumerate(keys):
+            if n and self.adjacent(n):
+                self.edges.append((n - 1, n, FORTH))
+            linked = {-1}
+            for kind, some in zip((SAME, SIMILAR), own, strict=True):
+                for key in some:
+                    # a link to the previous of the same content, and one to the first of it that a pattern takes
+                    for other in sorted({last.get((kind, key), -1), known.get((kind, key), -1)} - linked):
+                        linked.add(other)
+                        self.edges.append((other, n, kind))
+                    last[kind, key] = n
+                    if self.label[n]:
+                        known.setdefault((kind, key), n)
+        self.shape = np.array([_shape(text[s:e]) for s, e in tokens]).reshape(-1, N_SHAPE)
+
+    def adjacent(self, n: int) -> bool:
+        """Whether node n follows node n - 1 with one separator between them."""
+        return self.nodes[n][0] - self.nodes[n - 1][1] <= 1
+
+    def marginals(self, model: FieldModel, rounds: int = ROUNDS, observed: bool = True) -> np.ndarray:
         """Node marginals by loopy sum-product; observed nodes keep their label."""
-        n, k = len(self.nodes), len(LABELS)
-        local = self.shape @ weights
-        observed = np.array(self.label)
-        local[observed > 0] = -30.0
-        local[observed > 0, observed[observed > 0]] = 30.0
+        local = self.shape @ model.node
+        if observed:
+            label = np.array(self.label, np.int64)
+            local[label > 0] = -40.0
+            local[label > 0, label[label > 0]] = 40.0
         if self.edges:
-            a, b, w = (np.array(x) for x in zip(*self.edges, strict=True))
-            source, target, weight = np.concatenate((a, b)), np.concatenate((b, a)), np.concatenate((w, w))
+            a, b, kind = (np.array(x) for x in zip(*self.edges, strict=True))
+            source, target = np.concatenate((a, b)), np.concatenate((b, a))
             back = np.concatenate((np.arange(len(a)) + len(a), np.arange(len(a))))
-            message = np.zeros((len(source), k))
-            for _ in range(ROUNDS):
+            factor = model.factors()[np.concatenate((kind, np.where(kind == FORTH, BACK, kind)))]
+            message = np.zeros((len(source), len(LABELS)))
+            for _ in range(rounds):
                 belief = local.copy()
                 np.add.at(belief, target, message)
                 out = belief[source] - message[back]
-                out -= out.max(1, keepdims=True)
-                p = np.exp(out)
-                p /= p.sum(1, keepdims=True)
-                message = np.log(1e-12 + p * (np.exp(weight)[:, None] - 1) + 1)
+                p = np.exp(out - out.max(1, keepdims=True))
+                new = np.einsum("ek,ekl->el", p / p.sum(1, keepdims=True), factor)
+                message = np.log(new / new.sum(1, keepdims=True) + 1e-30)
             np.add.at(local, target, message)
-        local -= local.max(1, keepdims=True)
-        p = np.exp(local)
+        p = np.exp(local - local.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
+    def surroundings(self) -> np.ndarray:
+        """Of each node, how many neighbours of each label it has: before it and after it in the chain, of equal and of similar content."""
+        k = len(LABELS)
+        out = np.zeros((len(self.nodes), 4 * k))
+        for a, b, kind in self.edges:
+            out[b, kind * k + self.label[a]] += 1
+            out[a, (BACK if kind == FORTH else kind) * k + self.label[b]] += 1
+        return out
+
 
 def _strip(text: str, s: int, e: int) -> tuple[int, int]:
-    while s < e and text[s] in ".,;:!?()[]<>\"'":
+    """Without signs at the ends; a bracket stays where its other half is inside."""
+    ends = ENDS if text.count("(", s, e) != text.count(")", s, e) else ENDS.replace("()", "")
+    while s < e and text[s] in ends:
         s += 1
-    while e > s and text[e - 1] in ".,;:!?()[]<>\"'":
+    while e > s and text[e - 1] in ends:
         e -= 1
     return s, e
 
 
-def all_spans(text: str, base: dict[str, list[tuple[int, int]]], weights: np.ndarray) -> list[tuple[str, int, int]]:
+def all_spans(text: str, base: dict[str, list[tuple[int, int]]], model: FieldModel) -> list[tuple[str, int, int]]:
     """Base spans and those that the field adds, by kind and start."""
     found = [(kind, s, e) for kind in KINDS for s, e in base[kind]]
-    if not found:
-        return found  # no observed label, and so nothing to agree with
+    if not DIGIT.search(text):
+        return found  # no node
     field = Field(text, base)
-    if 0 in field.label and field.edges:
-        p = field.marginals(weights)
-        linked = defaultdict(set)
-        for a, b, w in field.edges:
-            if w > CHAIN:
-                linked[a].add(b)
-                linked[b].add(a)
-        todo = [n for n, label in enumerate(field.label) if label]
-        reached = set(todo)
-        while todo:
-            for b in linked[todo.pop()] - reached:
-                reached.add(b)
-                todo.append(b)
-        for n, label in enumerate(field.label):
-            best = int(p[n].argmax())
-            if not label and best and p[n, best] > 0.5 and n in reached:
-                s, e = _strip(text, *field.nodes[n])
-                if s < e:
-                    found.append((LABELS[best], s, e))
+    if 0 in field.label:
+        p = field.marginals(model)
+        best = p.argmax(1)
+        sure = (p.max(1) > SURE) & (best > 0) & (np.array(field.label) == 0)
+        run: list[int] = []  # label, start, end
+        for n in np.flatnonzero(sure).tolist():
+            s, e = field.nodes[n]
+            if run and run[0] == best[n] and sure[n - 1] and field.adjacent(n):
+                run[2] = e
+                continue
+            found += _span(text, run)
+            run = [int(best[n]), s, e]
+        found += _span(text, run)
     return sorted(found, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 
 
-def train(docs: DataFrame, fit_docs: int = FIT_DOCS) -> np.ndarray:
-    """Node weights by maximum likelihood of the base labels given the shapes (the piecewise training of the field)."""
+def _span(text: str, run: list[int]) -> list[tuple[str, int, int]]:
+    if not run:
+        return []
+    s, e = _strip(text, run[1], run[2])
+    return [(LABELS[run[0]], s, e)] if s < e else []
+
+
+def other_form(kind: str, value: str, rng: random.Random) -> str:
+    """A mention of a base span's value in a form that its pattern does not take."""
+    digits = "".join(c for c in value if "0" <= c <= "9")
+    if kind == "email":
+        local, host = value.split("@")
+        return rng.choice([local, f"{local}@{host.split('.')[0]}", f"<{local}>"])
+    if kind == "ip":
+        return rng.choice(["-", "_", ","]).join(value.split("."))
+    if kind == "card":
+        return rng.choice([digits[-8:], f"****{digits[-7:]}", ".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), "/".join(digits[i : i + 4] for i in range(0, len(digits), 4))])
+    area, rest = digits[-10:-7], digits[-7:]
+    return rng.choice([f"({area}) {rest[:3]}-{rest[3:]}" if area else rest, rest, f"{rest[:3]}-{rest[3:]}", digits, f"{area}.{rest[:3]}.{rest[3:]}"])
+
+
+def _like(value: str, rng: random.Random) -> str:
+    """Other digits and letters in the same form."""
+    return "".join(rng.choice("0123456789") if "0" <= c <= "9" else rng.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in value)
+
+
+def plant(text: str, rng: random.Random, share: float = 0.7) -> tuple[str, list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """The text with mentions of its base spans in other forms and with likenesses that belong to nothing; where both stand.
+
+    Each is put before a word drawn at random, outside of the base spans.
+    """
+    base = base_spans(text)
+    spans = sorted((s, e) for own in base.values() for s, e in own)
+    free = [m.start() for m in re.finditer(r"(?<=[\x20\n])(?=[^\x20\x09-\x0D])", text) if all(m.start() <= s or m.start() > e + 1 for s, e in spans)]
+    values = sorted({(k, text[s:e]) for k, kind in enumerate(KINDS, 1) for s, e in base[kind]})[:8]
+    new: list[tuple[int, int, int, str]] = []
+    for nth, (k, value) in enumerate(values):
+        if free and rng.random() < share:
+            if KINDS[k - 1] == "phone" and rng.random() < 0.3:  # as it is, but it runs on into a number, so that the pattern fails
+                place = rng.choice(free)
+                follower = ".".join(str(rng.randrange(256)) for _ in range(4)) if rng.random() < 0.7 else _like("1" * rng.randint(8, 16), rng)
+                new += [(place, 2 * nth, k, value), (place, 2 * nth + 1, 0, follower)]
+                continue
+            form = other_form(KINDS[k - 1], value, rng)
+            new.append((rng.choice(free), 2 * nth, k, form))
+            new.append((rng.choice(free), 2 * nth, 0, _like(form, rng)))
+    out, at, planted, decoys, size = [], 0, [], [], 0
+    for place, _, k, form in sorted(new):
+        out += [text[at:place], form, " "]
+        size += place - at
+        if k:
+            planted.append((size, size + len(form), k))
+        else:
+            decoys.append((size, size + len(form)))
+        size, at = size + len(form) + 1, place
+    return "".join([*out, text[at:]]), planted, decoys
+
+
+def train(docs: DataFrame, fit_docs: int = FIT_DOCS) -> FieldModel:
+    """All potentials by pseudo-likelihood: of each node's label given its shape and the labels of its neighbours."""
     common.prepare(docs.sparkSession)
-    sample = common.smallest(docs.select("text").where(F.col("text").rlike("[0-9@]")), F.xxhash64("text"), fit_docs)
-    rows = sample.mapInArrow(_fit_rows, "label int, shape binary, n long").groupBy("label", "shape").agg(F.sum("n").alias("n")).toPandas()  # distinct shapes, not tokens
-    weights = np.zeros((N_SHAPE, len(LABELS)))
+    sample = common.smallest_distinct(docs.select(F.xxhash64("text").alias("h"), "text").where(F.col("text").rlike("[0-9@]")), "h", fit_docs).select("text")
+    rows = sample.mapInArrow(_fit_rows, "label int, features binary, n long").groupBy("label", "features").agg(F.sum("n").alias("n")).toPandas()  # distinct surroundings, not tokens
     if not len(rows):
-        return weights
-    rows = rows.sort_values(["label", "shape"]).reset_index(drop=True)
-    x = np.stack([np.frombuffer(b, np.float64) for b in rows["shape"]])
-    y, n = np.eye(len(LABELS))[rows.label], rows.n.to_numpy(float)[:, None]
-    for _ in range(300):
-        z = x @ weights
+        return FieldModel.blank()
+    rows = rows.sort_values(["label", "features"]).reset_index(drop=True)
+    x = np.stack([np.frombuffer(b, np.float32) for b in rows.features]).astype(float)
+    return fit(x[:, :N_SHAPE], x[:, N_SHAPE:], rows.label.to_numpy(), rows.n.to_numpy(float))
+
+
+def fit(shape: np.ndarray, around: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 600) -> FieldModel:
+    """Gradient ascent with a step of its own for each potential, which shrinks as its gradients add up."""
+    k = len(LABELS)
+    y, n = np.eye(k)[label], weight[:, None] / weight.sum()
+    before, after, same, similar = (around[:, i * k : (i + 1) * k] for i in range(4))
+    w = [np.zeros((N_SHAPE, k)), np.zeros((k, k)), np.zeros(k), np.zeros(k)]
+    seen = [np.full(x.shape, 1e-8) for x in w]
+    for _ in range(steps):
+        z = shape @ w[0] + before @ w[1] + after @ w[1].T + same * w[2] + similar * w[3]
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        weights += 0.5 * (x.T @ (n * (y - p)) / n.sum() - 1e-4 * weights)
-    return weights
+        g = n * (y - p)
+        for i, d in enumerate((shape.T @ g, before.T @ g + (after.T @ g).T, (same * g).sum(0), (similar * g).sum(0))):
+            d = d - 1e-5 * w[i]
+            seen[i] += d * d
+            w[i] += 0.3 * d / np.sqrt(seen[i])
+    return FieldModel(*w)
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         count: dict[tuple[int, bytes], int] = defaultdict(int)
         for t in batch.column(0).to_pylist():
-            field = Field(t or "", base_spans(t or ""))
-            for label, shape in zip(field.label, np.round(field.shape, 1), strict=True):
-                count[label, shape.tobytes()] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.int32()), pa.array([k[1] for k in count], pa.binary()), pa.array(list(count.values()), pa.int64())], ["label", "shape", "n"])
+            text, planted, _ = plant(t or "", random.Random(zlib.crc32((t or "").encode("utf-8", "surrogatepass"))))
+            field = Field(text, base_spans(text), planted)
+            for label, row in zip(field.label, np.concatenate((field.shape, np.minimum(field.surroundings(), 3)), 1).astype(np.float32), strict=True):
+                count[label, row.tobytes()] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.int32()), pa.array([k[1] for k in count], pa.binary()), pa.array(list(count.values()), pa.int64())], ["label", "features", "n"])
 
 
-def find(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) of each row of docs (doc_id, text)."""
+def find(docs: DataFrame, model: FieldModel) -> DataFrame:
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans) of each row of docs (doc_id, text)."""
     common.prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,14 +375,14 @@ def find(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             rows = []
             for t in batch.column(1).to_pylist():
                 base = base_spans(t or "")
-                spans = all_spans(t or "", base, weights)
+                spans = all_spans(t or "", base, model)
                 listed = ",".join(f"{k}:{s}:{e}" for k in KINDS for s, e in base[k])
-                rows.append((*(len(base[k]) for k in KINDS), hashlib.sha256(listed.encode()).hexdigest(), ",".join(f"{k}:{s}:{e}" for k, s, e in spans), len(spans) - sum(map(len, base.values()))))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            types = (pa.int64(),) * 4 + (pa.string(),) * 2 + (pa.int64(),)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"])
+                rows.append((*(len(base[k]) for k in KINDS), hashlib.sha256(listed.encode()).hexdigest(), ",".join(f"{k}:{s}:{e}" for k, s, e in spans), len(spans) - sum(map(len, base.values())), len(spans)))
+            cols = list(zip(*rows, strict=True)) or [[]] * 8
+            types = (pa.int64(),) * 4 + (pa.string(),) * 2 + (pa.int64(),) * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added", "n_spans"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def mask_text(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -260,7 +395,7 @@ def mask_text(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[done:]])
 
 
-def mask(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def mask(docs: DataFrame, model: FieldModel) -> DataFrame:
     """docs with the personal data in text replaced; n_chars, where it exists as a number, follows. All columns stay."""
     common.prepare(docs.sparkSession)
     at, size = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
@@ -268,7 +403,7 @@ def mask(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).to_pylist()
-            new = [t and mask_text(t, all_spans(t, base_spans(t), weights)) for t in texts]
+            new = [t and mask_text(t, all_spans(t, base_spans(t), model)) for t in texts]
             cols = list(batch.columns)
             cols[at] = pa.array(new, batch.schema.field(at).type)
             if size >= 0:
@@ -280,5 +415,6 @@ def mask(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def op2_pii_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and added spans of every document, a row each; null and empty texts have none."""
     docs = common.documents(spark, sf_dir, "doc_id", "text")
     return find(docs, train(docs))

@@ -1,6 +1,8 @@
 """The operators on Spark: against brute force on the smallest tables, and on odd rows."""
 
 import hashlib
+import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -54,13 +56,53 @@ def test_op1(spark, docs):
     assert sum(out[k]["lang_pred"] == lang[k] for k in held) / len(held) > 0.97
 
 
-def test_op2(spark, docs):
-    out = got(registry.queries()["op2_pii_skip_chain"](spark, DIR))
-    for k, t in docs.items():
-        base = pii.base_spans(t)
+def plain_spans(t):
+    """The base spans by the expressions as they are written, with nothing to make them fast."""
+    def luhn(d):
+        return sum(sum(divmod(int(c) * 2, 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    return {
+        "email": [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)],
+        "ip": [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))],
+        "card": [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))],
+        "phone": [m.span() for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(digits(m)) <= 15],
+    }
+
+
+def test_op2(spark):
+    texts = got(common.documents(spark, "/root/testdata/sf0.01", "doc_id", "text"))
+    out = got(registry.queries()["op2_pii_skip_chain"](spark, "/root/testdata/sf0.01"))
+    assert set(out) == set(texts)
+    for k, r in texts.items():
+        base = plain_spans(r["text"] or "")
         listed = ",".join(f"{x}:{s}:{e}" for x in pii.KINDS for s, e in base[x])
         assert out[k]["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
         assert [out[k][f"n_{x}"] for x in pii.KINDS] == [len(base[x]) for x in pii.KINDS]
+        assert set(listed.split(",")) <= set(out[k]["spans"].split(",")) and out[k]["n_spans"] == len([x for x in out[k]["spans"].split(",") if x])
+
+
+def test_planted_mentions_are_found(spark):
+    """The field learnt from the table finds mentions that are planted in its texts, and little else."""
+    docs = common.documents(spark, "/root/testdata/sf0.01", "doc_id", "text")
+    model = pii.train(docs)
+    planted = found = wrong = 0
+    for k, r in got(docs).items():
+        t, true, _ = pii.plant(r["text"] or "", random.Random(k), 1.0)
+        base = pii.base_spans(t)
+        spans = [x for x in pii.all_spans(t, base, model) if (x[1], x[2]) not in base[x[0]]]
+        true = [(pii.LABELS[x], s, e) for s, e, x in true if not any(a < e and b > s for own in base.values() for a, b in own)]
+        hits = [x for x in spans if any(kind == x[0] and s < x[2] and e > x[1] for kind, s, e in true)]
+        planted, found, wrong = planted + len(true), found + len(hits), wrong + len(spans) - len(hits)
+    assert planted > 40 and found >= 0.9 * planted and wrong <= 0.1 * found, (planted, found, wrong)
+
+
+def test_field_learns_from_distinct_texts(spark):
+    """A text with very many copies takes one place in the sample, however small its hash."""
+    rows = [(i, "tel +1 (228) 555-1624 and more words") for i in range(300)] + [(1000 + i, f"mail x{i}@y.org or {i} now") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select(F.xxhash64("text").alias("h"), "text")
+    kept = [r["text"] for r in common.smallest_distinct(df, "h", 40).collect()]
+    assert len(set(kept)) == len(kept) and 30 <= len(kept) <= 40
 
 
 def test_op3(spark, docs):
@@ -291,7 +333,7 @@ def test_odd_languages(odd, empty):
 
 def test_odd_personal_data(odd, empty):
     weights = pii.train(odd)
-    assert pii.find(odd, weights).count() == odd.count() and pii.find(empty, pii.train(empty)).count() == 0
+    assert isinstance(weights, pii.FieldModel) and pii.find(odd, weights).count() == odd.count() and pii.find(empty, pii.train(empty)).count() == 0
     assert sorted(map(str, pii.mask(odd, weights).collect())) == sorted(map(str, odd.collect()))
 
 
