@@ -89,7 +89,9 @@ def width(spark: SparkSession, df: DataFrame | None = None) -> int:
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     if df is None:
         return n
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < 1 << 60)  # larger ones stand for an unknown size
     return max(n, min(-(-size // PART_BYTES), 100_000))
 
 

@@ -43,6 +43,8 @@ FIRST = 25
 SECOND = textops.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(textops.STEP))
 #: Anchors of one hash beyond which it is dealt to several tasks first, so many to each.
 HOT = 5_000
+#: Hot hashes, of 12 bytes each, that are sent to all tasks at most.
+HOT_ROWS = 500_000
 
 
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -296,6 +298,17 @@ def _across(windows: DataFrame) -> DataFrame:
     return later.select("rank", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b"))).alias("spans"))
 
 
+def _with_deals(anchors: DataFrame, counted: DataFrame) -> DataFrame:
+    """The anchors whose hash repeats, with its number of deals. Hot hashes are looked up where the anchors lie, so none
+    of them brings all its anchors to one task; if they are too many to send around, the join's own splitting has to do."""
+    counted = common.stored(counted, "counted")
+    hot = counted.where("deals > 1")
+    if hot.limit(HOT_ROWS + 1).count() > HOT_ROWS:
+        return anchors.join(counted, "hash")
+    hot = F.broadcast(hot)
+    return anchors.join(hot, "hash").unionByName(anchors.join(hot, "hash", "left_anti").join(counted.where("deals = 1"), "hash"))
+
+
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """What is left, the bytes removed and the number of maximal removed runs; spans may overlap or touch."""
     out, done, removed, runs, end = [], 0, 0, 0, -1
@@ -330,7 +343,7 @@ def _ranked(docs: DataFrame) -> DataFrame:
     if not odd.take(1):
         return texts.select(F.col("doc_id").alias("rank"), "doc_id", "bytes")
     spark = docs.sparkSession
-    ordered = common.stored(texts.repartitionByRange(common.width(spark), F.col("doc_id").asc_nulls_last(), "bytes").sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "bytes").withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id() % F.lit(1 << 33)), "ranked")
+    ordered = common.stored(texts.repartitionByRange(common.width(spark, docs), F.col("doc_id").asc_nulls_last(), "bytes").sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "bytes").withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id() % F.lit(1 << 33)), "ranked")
     base, bases = 0, []
     for r in ordered.groupBy("part").count().orderBy("part").collect():  # one row a partition
         bases.append((r["part"], base))
@@ -342,7 +355,7 @@ def _ranked(docs: DataFrame) -> DataFrame:
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts (rank, doc_id, bytes), ranks of exact copies, and lists of spans (rank, spans) to remove from the others."""
     spark = common.prepare(docs.sparkSession)
-    width = common.width(spark)
+    width = common.width(spark, docs)
     texts = _ranked(docs)
     long = texts.where(F.length("bytes") >= WINDOW)
     digests = long.select("rank", F.sha2("bytes", 256).alias("digest"))
@@ -351,10 +364,12 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     first_texts = long.join(F.broadcast(copies) if copies.count() * 8 <= 8 << 20 else copies, "rank", "left_anti").select("rank", "bytes")
     anchors = common.stored(first_texts.mapInArrow(_emit_anchors, "rank long, hash long, number int"), "anchors")
     counted = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").withColumn("deals", F.ceil(F.col("n") / HOT).cast("int")).select("hash", "deals")
-    flagged = anchors.join(counted, "hash").groupBy("rank").agg(F.collect_list(F.struct("number", "deals")).alias("anchors"))  # at most one for every few bytes of the text itself
+    flagged = _with_deals(anchors, counted).groupBy("rank").agg(F.collect_list(F.struct("number", "deals")).alias("anchors"))  # at most one for every few bytes of the text itself
     flagged = common.stored(flagged, "flagged")
+    common.drop(anchors)
     sent = first_texts.join(flagged, "rank").mapInArrow(_stretches, "hash long, deal long, rank long, start long, bytes binary")
     sent = common.stored(sent, "stretches")
+    common.drop(flagged)
     cold, hot = sent.where("deal < 0").select("hash", "rank", "start", "bytes"), sent.where("deal >= 0")
     order = lambda df, *k: df.repartition(width, *k).sortWithinPartitions(*k)
     if hot.take(1):
@@ -376,4 +391,5 @@ def remove(docs: DataFrame) -> DataFrame:
 
 
 def op9_suffix_bucket_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to earlier equal strings; cases as the module names them."""
     return remove(common.documents(spark, sf_dir, "doc_id", "text"))
