@@ -31,7 +31,9 @@ def connected(pairs: DataFrame) -> DataFrame:
     edges = common.stored(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
-        edges = common.stored(_small_star(_large_star(edges)), "star")
+        fresh = common.stored(_small_star(_large_star(edges)), "star")
+        common.drop(edges)
+        edges = fresh
         said = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(said) == before:
             break

@@ -192,10 +192,12 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def ties(classes: DataFrame) -> DataFrame:
     """(a, b): pairs of class ids whose components contain every linked pair that met in a tree. classes: (id, signature, nodes)."""
     found: list[DataFrame] = []
+    made: list[DataFrame] = []
     level = classes.select(F.explode("nodes").alias("node"), "id", "signature")
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("node").agg(F.count("*").alias("size"), F.min(F.struct("id", "signature")).alias("leader")).where("size > 1")
         crowd = common.stored(level.join(sizes, "node"), f"level{depth}")
+        made.append(crowd)
         small = crowd.where(F.col("size") <= NODE_MAX).select("node", "id", "signature")
         width = common.width(level.sparkSession)
         found.append(small.repartition(width, "node").sortWithinPartitions("node", "id").mapInArrow(_compare_small, "a long, b long"))
@@ -206,6 +208,7 @@ def ties(classes: DataFrame) -> DataFrame:
             found.append(large.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")))
             break
         thinned = common.stored(large.mapInArrow(_thin, "node long, id long, signature binary, leader long, similarity double"), f"thin{depth}")
+        made.append(thinned)
         near = F.col("similarity") >= LARGE_TIE
         found.append(thinned.where(near & F.expr("id <> leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")))
         # a tied member is needed further only if an untied one could be linked to it; nodes without untied members are done
@@ -215,7 +218,9 @@ def ties(classes: DataFrame) -> DataFrame:
     out = found[0]
     for df in found[1:]:
         out = out.unionByName(df)
-    return out.distinct()
+    out = common.stored(out.distinct(), "ties")
+    common.drop(*made)
+    return out
 
 
 def _children():
@@ -309,6 +314,7 @@ def _split(large: DataFrame) -> DataFrame:
     heads = common.stored(shared.join(room, "row").withColumn("place", place).where("place <= room").select("group", "element", "id"), "heads")
     least = heads.groupBy("group", "element").agg(F.min("id").alias("a"))
     parts = connected(heads.join(least, ["group", "element"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    common.drop(elements, shared, heads)
     return large.drop("group").join(parts.withColumnRenamed("component", "group"), "id").select("group", "id", "text", "n_shingles")
 
 
@@ -397,7 +403,7 @@ def _by_rounds(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     empty = large.limit(0)
     empty.select(F.col("group").alias("a"), F.col("id").alias("b")).write.mode("append").parquet(links_at)
     empty.select("group", "id", "text").write.mode("append").parquet(rest_at)
-    work = common.stored(large, "rounds")
+    held = work = common.stored(large, "rounds")
     nth = 0
     while work.take(1):
         nth += 1
@@ -420,6 +426,8 @@ def _by_rounds(large: DataFrame) -> tuple[DataFrame, DataFrame]:
         after = common.stored(after.join(totals, "group").select("group", "id", "text", "n_shingles", "total"), "after")
         after.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text").write.mode("append").parquet(rest_at)
         work = after.where(F.col("total") > GROUP_SHINGLES)
+        common.drop(held, seen)
+        held = after
     return spark.read.schema("a long, b long").parquet(links_at), spark.read.schema("group long, id long, text string").parquet(rest_at)
 
 
@@ -430,7 +438,7 @@ def components(docs: DataFrame) -> DataFrame:
     every = common.stored(profiles(docs), "profiles")
     full = every.where("digest is not null and doc_id is not null")
     classes = common.stored(full.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("nodes").alias("nodes")), "classes")
-    pairs = common.stored(ties(classes), "ties")
+    pairs = ties(classes)
     group_of = connected(pairs).select(F.col("id"), F.col("component").alias("group"))
     sizes = classes.select("id", "n_shingles").join(group_of, "id")
     totals = sizes.groupBy("group").agg(F.sum("n_shingles").alias("total"))
@@ -445,7 +453,7 @@ def components(docs: DataFrame) -> DataFrame:
         parts = parts.join(totals, "group")
         links, rest = _by_rounds(parts.where(F.col("total") > GROUP_SHINGLES))
         small = small.unionByName(parts.where(F.col("total") <= GROUP_SHINGLES).select("group", "id", "text")).unionByName(rest)
-    ordered = small.repartition(common.width(spark), "group").sortWithinPartitions("group", "id")
+    ordered = small.repartition(common.width(spark, docs), "group").sortWithinPartitions("group", "id")
     confirmed = ordered.mapInArrow(_resolve, "a long, b long")
     if links is not None:
         confirmed = confirmed.unionByName(links)
@@ -467,4 +475,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op4_chosen_path_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and whether it stays, for every document; cases as the module names them."""
     return components(common.documents(spark, sf_dir, "doc_id", "text"))
