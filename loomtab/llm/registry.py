@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         fingerprints.op3_bottom_k_fingerprints,
         neardup.op4_chosen_path_dedup,
         rollups.op5_token_rollups,
+        rollups.ledger_of_words,
         packing.op6_best_fit_packing,
         tokenfiles.op8_token_id_files,
         decontaminate.op7_qgram_decontamination,
@@ -26,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_token_rollups": rollups.OP5_SQL}
+    return {"ledger_of_words": rollups.WORDS_SQL}

@@ -1,33 +1,40 @@
 """Delta-maintained token counts: additive totals by source, language and tokenizer version.
 
-A ledger is a folder of Parquet tables. A batch holds signed events: `insert` adds a document's count under a version,
-`delete` takes it away, `revise` replaces it. The batch is joined with the ledger's current counts of its own documents
-only; the difference that each event makes becomes a delta, deltas are summed by group before anything is shuffled, and
-the totals are the sum of all committed deltas. No total is ever recomputed from the documents.
-
-Commits are idempotent: a batch is written under its own id (its changed states and its deltas), and counts only once a
-marker row for the id exists. A batch that failed half-way is overwritten when it is committed again; one whose marker
-exists is not applied a second time. Readers see the committed batches only.
+A ledger is a folder. A batch holds signed events: `insert` adds a document's count under a version, `delete` takes it
+away, `revise` replaces it. The batch is joined with the current counts of its own documents only: these lie in BUCKETS
+folders by a hash of the doc_id, and a batch reads those that it has documents in. The difference that each event makes
+becomes a delta, deltas are summed by group before anything is shuffled, and the totals are the sum of all committed
+deltas. No total is ever recomputed from the documents. `compact` replaces the states and deltas so far by one of each.
+
+Commits are idempotent: a batch is written to a folder of its own attempt, and counts only once its marker exists: a
+file, named by its place in the order of commits, that is created only if nobody else has created it. A batch that failed
+half-way leaves no marker, and is written afresh when it is committed again; one that has a marker is not applied a second
+time; of two commits at once one raises. Readers see the committed batches only. On a store whose files cannot be created
+exclusively, one writer at a time must be seen to from outside.
 
 Defined cases: within a batch the event with the largest `seq` decides for a document and version (of equal ones the one
-with the larger count; equal rows count once); inserting a present document revises it; deleting or revising an absent
-one does nothing or inserts it; null source or lang is a group of its own; null text counts no tokens; an empty batch
-commits and changes nothing; groups whose documents have all gone stay out of the totals.
+with the larger count; equal rows count once); all rows without doc_id are one document, so callers that want each to
+count must number them (the query does); inserting a present document revises it; deleting or revising an absent one does
+nothing or inserts it; null source or lang is a group of its own; null text counts no tokens; an empty batch commits and
+changes nothing; groups whose documents have all gone stay out of the totals; texts are counted whole.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common, tokens
 
 EVENT = "op string, doc_id long, source string, lang string, version string, n_tokens long, seq long"
-STATE = "doc_id long, version string, source string, lang string, n_tokens long, present boolean, batch long"
-DELTA = "source string, lang string, version string, d_docs long, d_tokens long, batch long"
+STATE = "doc_id long, version string, source string, lang string, n_tokens long, present boolean, nth long"
+DELTA = "source string, lang string, version string, d_docs long, d_tokens long"
+#: What a batch replaced, kept beside the new state of each of its documents.
+OLD = "old_source string, old_lang string, old_n long, old_present boolean"
+BUCKETS = 64
 
 
 def count_words(text: Column) -> Column:
@@ -40,20 +47,21 @@ def count_units(text: Column) -> Column:
     return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]"), F.lit(0))), F.lit(0)).cast("long")
 
 
-def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """docs with n_tokens, the number of ids under a tokenizer file (whole texts, see `tokens`)."""
+def count_tokens(docs: DataFrame, vocabulary: str, column: str = "n_tokens") -> DataFrame:
+    """docs with the number of ids of the whole text under a tokenizer file, in a last column (in place of one of that name)."""
     import pyarrow as pa
 
     common.prepare(docs.sparkSession)
+    docs = docs.drop(column)
     at = docs.columns.index("text")
 
     def run(batches):
         encode = tokens.encoder(vocabulary).encode
         for batch in batches:
             n = [len(encode(t)) // 4 if t else 0 for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, "n_tokens"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, column])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "n_tokens long"]))
+    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{column}` long"]))
 
 
 def events(docs: DataFrame, op: str, version: str, n_tokens: Column, seq: int = 0) -> DataFrame:
@@ -61,103 +69,168 @@ def events(docs: DataFrame, op: str, version: str, n_tokens: Column, seq: int =
     return docs.select(F.lit(op).alias("op"), F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.lit(version).alias("version"), n_tokens.cast("long").alias("n_tokens"), F.lit(seq).cast("long").alias("seq"))
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def _table(self, name: str, schema: str, ids: list[int]) -> DataFrame:
-        parts = [self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/{i}") for i in ids]
-        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema)
+    def _at(self, *parts: str):
+        """A place of the ledger, and its file system."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def committed(self) -> list[int]:
-        """Ids of the committed batches, oldest first: one marker row each."""
-        try:
-            rows = self.spark.read.schema("batch long, nth long").parquet(f"{self.folder}/commits").orderBy("nth").collect()
-        except AnalysisException:  # nothing is committed yet
+    def _log(self) -> list[dict]:
+        """The markers in order, one small row a commit. Only a folder that is not there means that there are none."""
+        path, fs = self._at("commits")
+        if not fs.exists(path):
             return []
-        return list(dict.fromkeys(r["batch"] for r in rows))
-
-    def state(self) -> DataFrame:
-        """The current count of each document and version, of those present or gone."""
-        ids = self.committed()
-        order = F.create_map(*[F.lit(x) for i, b in enumerate(ids) for x in (b, i)]) if ids else None
-        rows = self._table("state", STATE, ids)
-        if len(ids) < 2:
-            return rows
-        newest = F.max_by(F.struct("source", "lang", "n_tokens", "present", "batch"), order[F.col("batch")])
+        rows = self.spark.read.schema("nth long, batch long, base boolean, at string").json(f"{self.folder}/commits").where("at is not null").orderBy("nth").collect()
+        return [r.asDict() for r in rows]
+
+    def _mark(self, nth: int, **said) -> None:
+        path, fs = self._at("commits", f"{nth:012d}.json")
+        out = fs.create(path, False)  # raises if another commit took this place
+        out.write(bytearray((json.dumps({"nth": nth, **said}) + "\n").encode()))
+        out.close()
+
+    def _next(self) -> int:
+        """The first free place; a marker that was never filled takes its place too."""
+        path, fs = self._at("commits")
+        if not fs.exists(path):
+            return 0
+        return max((int(x.getPath().getName()[:12]) for x in fs.listStatus(path) if x.getPath().getName().endswith(".json")), default=-1) + 1
+
+    @staticmethod
+    def _live(log: list[dict]) -> list[dict]:
+        """The last compaction and what came after it."""
+        last = max((i for i, r in enumerate(log) if r["base"]), default=0)
+        return log[last:]
+
+    def _table(self, name: str, schema: str, log: list[dict]) -> DataFrame:
+        paths = [self._part(name, r["at"]) for r in self._live(log)]
+        return self.spark.read.schema(schema).option("basePath", f"{self.folder}/{name}").parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _part(self, name: str, at: str) -> str:
+        return f"{self.folder}/{name}/at={at}"
+
+    def committed(self) -> list[int]:
+        """Ids of the committed batches, oldest first."""
+        return [r["batch"] for r in self._log() if not r["base"]]
+
+    def state(self, buckets: list[int] | None = None, log: list[dict] | None = None) -> DataFrame:
+        """The current count of each document and version, of those present or gone; of some buckets, or of all."""
+        rows = self._table("state", f"{STATE}, bucket int", self._log() if log is None else log)
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        newest = F.max_by(F.struct("source", "lang", "n_tokens", "present", "nth"), "nth")
         return rows.groupBy("doc_id", "version").agg(newest.alias("s")).select("doc_id", "version", "s.*")
 
     def commit(self, batch: int, batch_events: DataFrame) -> bool:
         """Apply a batch under an id; False if the id was committed before (nothing changes then)."""
-        done = self.committed()
-        if batch in done:
+        log, nth = self._log(), self._next()
+        if any(r["batch"] == batch and not r["base"] for r in log):
             return False
+        at = f"batch{batch}-{uuid.uuid4().hex[:8]}"
         best = F.max_by(F.struct("op", "source", "lang", "n_tokens"), F.struct("seq", "n_tokens", "op", "source", "lang"))
-        one = batch_events.groupBy("doc_id", "version").agg(best.alias("e")).select("doc_id", "version", "e.*")
-        old = self.state().select("doc_id", "version", F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("n_tokens").alias("_n"), F.col("present").alias("_there")) if done else None
-        if old is None:
-            both = one.select("*", F.lit(None).cast("string").alias("_source"), F.lit(None).cast("string").alias("_lang"), F.lit(0).cast("long").alias("_n"), F.lit(False).alias("_there"))
-        else:
-            both = one.join(old, (one.doc_id.eqNullSafe(old.doc_id)) & (one.version.eqNullSafe(old.version)), "left").select(one["*"], "_source", "_lang", F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_there", F.lit(False)).alias("_there"))
+        one = common.stored(batch_events.groupBy("doc_id", "version").agg(best.alias("e")).select("doc_id", "version", "e.*"), "batch")
+        met = [r["bucket"] for r in one.select(_bucket().alias("bucket")).distinct().collect()]  # BUCKETS rows at most
+        old = self.state(met, log).select("doc_id", "version", F.col("source").alias("old_source"), F.col("lang").alias("old_lang"), F.col("n_tokens").alias("old_n"), F.col("present").alias("old_present"))
+        both = one.join(old, (one.doc_id.eqNullSafe(old.doc_id)) & (one.version.eqNullSafe(old.version)), "left").select(one["*"], "old_source", "old_lang", F.coalesce("old_n", F.lit(0)).alias("old_n"), F.coalesce("old_present", F.lit(False)).alias("old_present"))
         stays = F.col("op") != "delete"
-        after = both.where(stays | F.col("_there")).select(
-            "doc_id", "version", "_source", "_lang", "_n", "_there",
-            F.when(stays, F.col("source")).otherwise(F.col("_source")).alias("source"), F.when(stays, F.col("lang")).otherwise(F.col("_lang")).alias("lang"),
-            F.when(stays, F.coalesce("n_tokens", F.lit(0))).otherwise(F.col("_n")).cast("long").alias("n_tokens"), stays.alias("present"), F.lit(batch).cast("long").alias("batch"),
+        after = both.where(stays | F.col("old_present")).select(
+            "doc_id", "version",
+            F.when(stays, F.col("source")).otherwise(F.col("old_source")).alias("source"), F.when(stays, F.col("lang")).otherwise(F.col("old_lang")).alias("lang"),
+            F.when(stays, F.coalesce("n_tokens", F.lit(0))).otherwise(F.col("old_n")).cast("long").alias("n_tokens"), stays.alias("present"), F.lit(nth).cast("long").alias("nth"),
+            *_names(OLD), _bucket().alias("bucket"),
         )
-        spread = "_source string, _lang string, _n long, _there boolean"
-        changes = common.stored(after, "changes") if done else after
-        changes.select(*[c.split()[0] for c in STATE.split(", ")], *[c.split()[0] for c in spread.split(", ")]).write.mode("overwrite").parquet(f"{self.folder}/state/{batch}")
-        written = self.spark.read.schema(f"{STATE}, {spread}").parquet(f"{self.folder}/state/{batch}")
-        minus = written.where("_there").select(F.col("_source").alias("source"), F.col("_lang").alias("lang"), "version", F.lit(-1).alias("d"), F.col("_n").alias("n"))
+        state = self._part("state", at)
+        after.repartition("bucket", F.pmod(F.xxhash64("version", "doc_id"), F.lit(max(1, common.width(self.spark) // BUCKETS)))).write.mode("overwrite").partitionBy("bucket").parquet(state)
+        written = self.spark.read.schema(f"{STATE}, {OLD}, bucket int").parquet(state)
+        minus = written.where("old_present").select(F.col("old_source").alias("source"), F.col("old_lang").alias("lang"), "version", F.lit(-1).alias("d"), F.col("old_n").alias("n"))
         plus = written.where("present").select("source", "lang", "version", F.lit(1).alias("d"), "n_tokens")
-        deltas = plus.union(minus).groupBy("source", "lang", "version").agg(F.sum("d").alias("d_docs"), F.sum(F.col("d") * F.col("n_tokens")).alias("d_tokens"))
-        deltas.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite").parquet(f"{self.folder}/deltas/{batch}")
-        self.spark.createDataFrame([(batch, len(done))], "batch long, nth long").coalesce(1).write.mode("append").parquet(f"{self.folder}/commits")
+        deltas = plus.union(minus).groupBy("source", "lang", "version").agg(F.sum("d").cast("long").alias("d_docs"), F.sum(F.col("d") * F.col("n_tokens")).alias("d_tokens"))
+        deltas.coalesce(1).write.mode("overwrite").parquet(self._part("deltas", at))  # one row a group
+        self._mark(nth, batch=batch, base=False, at=at)
+        common.drop(one)
         return True
 
+    def compact(self) -> None:
+        """One state and one delta table in place of all so far; what was committed stays known."""
+        log, nth = self._log(), self._next()
+        if len(self._live(log)) < 2:
+            return
+        at = f"base-{uuid.uuid4().hex[:8]}"
+        self.state(log=log).withColumn("bucket", _bucket()).repartition("bucket", F.pmod(F.xxhash64("version", "doc_id"), F.lit(max(1, common.width(self.spark) // BUCKETS)))).write.partitionBy("bucket").parquet(self._part("state", at))
+        self._sums(log).coalesce(1).write.parquet(self._part("deltas", at))
+        self._mark(nth, batch=-1, base=True, at=at)
+
+    def _sums(self, log: list[dict]) -> DataFrame:
+        return self._table("deltas", DELTA, log).groupBy("source", "lang", "version").agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+
     def totals(self) -> DataFrame:
         """(source, lang, version, n_docs, n_tokens): the sum of the committed deltas."""
-        sums = self._table("deltas", DELTA, self.committed()).groupBy("source", "lang", "version").agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
-        return sums.where("n_docs > 0")
+        return self._sums(self._log()).where("d_docs > 0").select("source", "lang", "version", F.col("d_docs").alias("n_docs"), F.col("d_tokens").alias("n_tokens"))
 
 
-#: The history that the query commits: a text shorter than this is purged, a count above the limit is revised to it.
-SHORT_WORDS, LONG_WORDS = 50, 4096
+#: The two public vocabularies, by whose names the versions go.
+VERSIONS = ("byte_bpe_50k", "word_bpe_49k")
+#: Texts of fewer characters are withdrawn in the course of the history, and come back.
+SHORT_CHARS = 400
 
 
-def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after five commits over all documents, one of them a replay.
+def _history(ledger: Ledger, counted: DataFrame, first: str, second: str) -> DataFrame:
+    """Totals after commits that end in the truth. counted: (doc_id, source, lang, chars, and a count by each version).
 
-    1 inserts all documents under `words-1`; 2 inserts all under `units-1`; 3 deletes the short ones under both; 4
-    revises the counts of long ones under `words-1`; then 3 comes again. Each row of the table is a document of its own,
-    under a number that is stored with its counts, so rows of null or repeated doc_id count each.
+    1 inserts all documents under the first version, with an estimate of four characters a token; 2 inserts all under the
+    second; 3 deletes the short ones under both; 4 revises all estimates that are left to the true counts; then 3 comes
+    again, and changes nothing; 5 inserts the short ones anew. So each total is the plain sum over all documents.
     """
-    docs = common.documents(spark, sf_dir, "source", "lang", "text")
-    counted = common.stored(docs.select(F.monotonically_increasing_id().alias("doc_id"), "source", "lang", count_words(F.col("text")).alias("words"), count_units(F.col("text")).alias("units")), "counts")
-    ledger = Ledger(spark, common.new_path(spark, "ledger"))
-    ledger.commit(1, events(counted, "insert", "words-1", F.col("words")))
-    ledger.commit(2, events(counted, "insert", "units-1", F.col("units")))
-    short = counted.where(F.col("words") < SHORT_WORDS)
-    gone = events(short, "delete", "words-1", F.col("words")).unionByName(events(short, "delete", "units-1", F.col("units")))
+    ledger.commit(1, events(counted, "insert", first, F.expr("chars div 4")))
+    ledger.commit(2, events(counted, "insert", second, F.col(second)))
+    short = F.col("chars") < SHORT_CHARS
+    gone = events(counted.where(short), "delete", first, F.lit(0)).unionByName(events(counted.where(short), "delete", second, F.lit(0)))
     ledger.commit(3, gone)
-    long = counted.where(F.col("words") > LONG_WORDS)
-    ledger.commit(4, events(long, "revise", "words-1", F.lit(LONG_WORDS)))
+    ledger.commit(4, events(counted.where(~short), "revise", first, F.col(first)))
+    ledger.compact()
     ledger.commit(3, gone)
+    ledger.commit(5, events(counted.where(short), "insert", first, F.col(first)).unionByName(events(counted.where(short), "insert", second, F.col(second))))
     return ledger.totals()
 
 
-OP5_SQL = r"""
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row of the table is a document of its own, under a number that is stored with its counts: null and repeated ids count each."""
+    docs = common.documents(spark, sf_dir, "source", "lang", "text")
+    return docs.select(F.monotonically_increasing_id().alias("doc_id"), "source", "lang", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"))
+
+
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, lang, version, n_docs, n_tokens) of all documents under both public vocabularies, after the commits of `_history`."""
+    first, second = VERSIONS
+    counted = count_tokens(count_tokens(_numbered(spark, sf_dir), f"{first}.json", first), f"{second}.json", second)
+    counted = common.stored(counted.drop("text"), "counts")
+    return _history(Ledger(spark, common.new_path(spark, "ledger")), counted, first, second)
+
+
+def ledger_of_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ledger and history on counts that SQL has as well: words, and runs of letters or digits with single signs."""
+    counts = {"words-1": count_words(F.col("text")), "units-1": count_units(F.col("text"))}
+    counted = common.stored(_numbered(spark, sf_dir).withColumns(counts).drop("text"), "counts")
+    return _history(Ledger(spark, common.new_path(spark, "ledger")), counted, *counts)
+
+
+WORDS_SQL = r"""
 WITH counted AS (
-    SELECT source, lang,
-           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
-           len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')) AS units
-    FROM documents
-), versions AS (
-    SELECT source, lang, 'words-1' AS version, least(words, 4096) AS n FROM counted WHERE words >= 50
+    SELECT source, lang, 'words-1' AS version, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM documents
     UNION ALL
-    SELECT source, lang, 'units-1' AS version, units AS n FROM counted WHERE words >= 50
+    SELECT source, lang, 'units-1' AS version, len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')) AS n FROM documents
 )
 SELECT source, lang, version, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
-FROM versions GROUP BY source, lang, version
+FROM counted GROUP BY source, lang, version
 """

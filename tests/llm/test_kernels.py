@@ -42,6 +42,15 @@ def test_elias_fano(values):
         code.select(len(values))
 
 
+def test_elias_fano_in_blocks(monkeypatch):
+    from loomtab.llm import eliasfano
+
+    monkeypatch.setattr(eliasfano, "BLOCK", 16)
+    values = np.cumsum(np.random.default_rng(2).integers(0, 5000, 333))
+    code = EliasFano.from_bytes(EliasFano.of(values).to_bytes())
+    assert code.decode().tolist() == values.tolist() == [code.select(i) for i in range(333)]
+
+
 def test_elias_fano_is_small():
     values = np.cumsum(np.random.default_rng(1).integers(1, 2000, 20_000))
     assert len(EliasFano.of(values).to_bytes()) * 8 <= len(values) * (2.3 + math.log2(values[-1] / len(values)) + 1)

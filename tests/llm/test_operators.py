@@ -17,6 +17,20 @@ from tests.helpers import duck, rows
 DIR = "/root/testdata/sf0.001"
 
 
+def test_scratch_tables(spark, monkeypatch):
+    """Stored tables can be removed; a cluster without a shared folder is refused."""
+    import os
+
+    df = common.stored(spark.range(3).toDF("x"), "gone")
+    path = common._STORED[df]
+    assert df.count() == 3 and os.path.isdir(path)
+    common.drop(df, spark.range(1))
+    assert not os.path.exists(path)
+    assert common.width(spark, spark.range(10)) == common.width(spark)
+    monkeypatch.setattr(common, "PART_BYTES", 8)
+    assert common.width(spark, spark.range(1000)) == 1000
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return {r["doc_id"]: r["text"] or "" for r in common.documents(spark, DIR).collect()}
@@ -177,9 +191,29 @@ def test_large_group_without_links(spark, monkeypatch):
     assert 0 < tags.count("round") <= 6
 
 
-def test_op5(spark):
-    df = registry.queries()["op5_token_rollups"](spark, DIR)
-    want = duck(DIR).sql(registry.oracle_sql()["op5_token_rollups"])
+def library(name):
+    """The tokenizers library as it is, with a file of its own."""
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.resolve(name))
+    return lambda t: np.array(fresh.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_op5(spark, docs):
+    meta = {r["doc_id"]: (r["source"], r["lang"]) for r in common.documents(spark, DIR, "doc_id", "source", "lang").collect()}
+    want = defaultdict(lambda: [0, 0])
+    for version in rollups.VERSIONS:
+        encode = library(f"{version}.json")
+        for k, t in docs.items():
+            want[*meta[k], version][0] += 1
+            want[*meta[k], version][1] += len(encode(t)) // 4
+    out = registry.queries()["op5_token_rollups"](spark, DIR).collect()
+    assert {(r["source"], r["lang"], r["version"]): [r["n_docs"], r["n_tokens"]] for r in out} == dict(want) and len(out) == len(want)
+
+
+def test_ledger_of_words(spark):
+    df = registry.queries()["ledger_of_words"](spark, DIR)
+    want = duck(DIR).sql(registry.oracle_sql()["ledger_of_words"])
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(want.columns, want.fetchall())
 
 
@@ -194,32 +228,91 @@ def test_ledger_is_idempotent(spark):
     assert ledger.totals().agg(F.sum("n_tokens")).first()[0] == 13
     assert ledger.commit(4, event(("revise", 1, "b", "en", "v", 9, 0), ("delete", 2, None, None, "v", 0, 0), ("delete", 99, "a", "en", "v", 3, 0), ("revise", 3, None, "en", "v", 2, 1), ("delete", 3, None, "en", "v", 2, 0)))
     assert total() == {("b", "v"): (1, 9), (None, "v"): (1, 2)}
+    ledger.compact()
+    assert total() == {("b", "v"): (1, 9), (None, "v"): (1, 2)} and not ledger.commit(10, first)
     assert ledger.commit(5, event()) and ledger.commit(6, event(("insert", 2, "a", "en", "v", 4, 0)))
     assert total()["a", "v"] == (1, 4) and not ledger.commit(4, first)
     n = rollups.count_tokens(spark.createDataFrame([("hello world",), (None,)], "text string"), "byte_bpe_50k.json").collect()
     assert [r["n_tokens"] for r in n] == [2, 0]
 
 
+def test_ledger_against_random_histories(spark):
+    """Every total after every commit, by plain dictionaries; replays, empty batches, null ids and compactions among them."""
+    rng = random.Random(11)
+    for turn in range(2):
+        ledger, state, done = rollups.Ledger(spark, common.new_path(spark, "t")), {}, {}
+        for batch in [3, 1, 3, 7, 2, 7, 9, 4]:
+            made = [(rng.choice(["insert", "delete", "revise"]), rng.choice([None, *range(12)]), rng.choice(["a", "b", None]), rng.choice(["en", None]), rng.choice(["v1", "v2"]), rng.choice([None, *range(9)]), i) for i in range(rng.choice([0, 10, 30]))]
+            assert ledger.commit(batch, spark.createDataFrame(made, rollups.EVENT)) == (batch not in done)
+            if batch not in done:
+                last = {(r[1], r[4]): r for r in sorted(made, key=lambda r: r[6])}
+                for key, (op, _, source, lang, version, n, _) in last.items():
+                    if op == "delete":
+                        state.pop(key, None)
+                    else:
+                        state[key] = (source, lang, version, n or 0)
+                done[batch] = True
+            want = defaultdict(lambda: [0, 0])
+            for source, lang, version, n in state.values():
+                want[source, lang, version][0] += 1
+                want[source, lang, version][1] += n
+            assert {(r["source"], r["lang"], r["version"]): [r["n_docs"], r["n_tokens"]] for r in ledger.totals().collect()} == dict(want)
+            if batch == 7 and turn:
+                ledger.compact()
+
+
+def test_commits_that_fail_or_meet(spark, tmp_path):
+    ledger = rollups.Ledger(spark, str(tmp_path / "l"))
+    one = spark.createDataFrame([("insert", 1, "a", "en", "v", 5, 0)], rollups.EVENT)
+    mark = ledger._mark
+    ledger._mark = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
+    with pytest.raises(OSError):
+        ledger.commit(1, one)
+    ledger._mark = mark
+    assert ledger.totals().count() == 0 and ledger.commit(1, one) and ledger.totals().first()["n_tokens"] == 5
+    ledger._next = lambda: 0  # another commit took the place meanwhile
+    with pytest.raises(Exception, match="exist"):
+        ledger.commit(2, one)
+    del ledger._next
+    assert ledger.committed() == [1] and ledger.commit(2, one) and ledger.totals().first()["n_docs"] == 1
+    (tmp_path / "l" / "commits" / "000000000002.json").write_text("")  # a marker that was never filled
+    assert ledger.committed() == [1, 2] and ledger.commit(3, one) and ledger.committed() == [1, 2, 3]
+
+
+def test_odd_rollups(spark, odd, empty, tmp_path):
+    numbered = odd.select(F.monotonically_increasing_id().alias("doc_id"), "source", "lang", "text", *[c for c in odd.columns if c not in ("doc_id", "source", "lang", "text")])
+    counted = rollups.count_tokens(numbered.withColumn("n_tokens", F.lit("clash")), "byte_bpe_50k.json")
+    assert dict(counted.dtypes)["n_tokens"] == "bigint" and counted.columns.count("n_tokens") == 1
+    ledger = rollups.Ledger(spark, common.new_path(spark, "t"))
+    assert ledger.commit(1, rollups.events(counted, "insert", "v", F.col("n_tokens"))) and ledger.commit(2, rollups.events(empty, "delete", "v", F.lit(1)))
+    encode = library("byte_bpe_50k.json")
+    assert ledger.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first() == (odd.count(), sum(len(encode(r["text"] or "")) // 4 for r in odd.select("text").collect()))
+    for name, df in (("odd", odd), ("empty", empty)):
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        out = registry.queries()["op5_token_rollups"](spark, f"{tmp_path}/{name}")
+        assert (out.groupBy("version").agg(F.sum("n_docs").alias("n")).where(F.col("n") != df.count()).count(), out.count() > 0) == (0, name == "odd")
+
+
 def test_rollups_of_null_and_repeated_ids(spark, tmp_path):
     rows = [(1, "word " * 60, "en", "s"), (1, "word " * 60, "en", "s"), (1, "other " * 70, "en", "s"), (None, "word " * 60, "en", "s"), (None, "word " * 80, "de", None), (2, "short", "en", "s")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    df = registry.queries()["op5_token_rollups"](spark, str(tmp_path))
+    df = registry.queries()["ledger_of_words"](spark, str(tmp_path))
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
-    want = con.sql(registry.oracle_sql()["op5_token_rollups"])
+    want = con.sql(registry.oracle_sql()["ledger_of_words"])
     as_rows = lambda data: sorted(map(str, map(tuple, data)))
     assert as_rows(df.select(*want.columns).collect()) == as_rows(want.fetchall())
 
 
 def test_op6(spark, docs):
     out = registry.queries()["op6_best_fit_packing"](spark, DIR).collect()
-    encode = tokens.encoder(packing.VOCABULARY)._encode
+    encode = library(packing.VOCABULARY)
     pieces, bins = defaultdict(dict), defaultdict(list)
     for r in out:
         pieces[r["doc_id"]][r["piece"]] = r
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
     for k, t in docs.items():
-        b = encode([t])[0] + (1).to_bytes(4, "little")
+        b = encode(t) + (1).to_bytes(4, "little")
         own = [pieces[k][i] for i in range(len(pieces[k]))]
         assert [(r["start"], r["length"], r["ids_crc32"]) for r in own] == [(s // 4, len(b[s : s + 16384]) // 4, zlib.crc32(b[s : s + 16384])) for s in range(0, len(b), 16384)]
     for parts in bins.values():
@@ -252,9 +345,9 @@ def test_op7(spark, docs):
 
 def test_op8(spark, docs):
     out = got(registry.queries()["op8_token_id_files"](spark, DIR))
-    encode, at = tokens.encoder(tokenfiles.VOCABULARY)._encode, 0
+    encode, at = library(tokenfiles.VOCABULARY), 0
     for k in sorted(docs):
-        b = encode([docs[k]])[0] + bytes(4)
+        b = encode(docs[k]) + bytes(4)
         assert (out[k]["start"], out[k]["n_tokens"], out[k]["ids_crc32"]) == (at, len(b) // 4, zlib.crc32(b))
         at += len(b) // 4
 
@@ -268,6 +361,27 @@ def test_shard_select(spark):
     assert seen == [(None, [*ids("x"), 0]), (5, [*ids("a b"), 0]), (7, [0]), (9, [0])]
 
 
+def test_shards_of_many_parts(spark, monkeypatch, tmp_path):
+    """Small limits give several parts a shard; places count over all of them, select finds each document, leftovers go."""
+    monkeypatch.setattr(tokenfiles, "SHARD_DOCS", 7)
+    texts = {i: "word " * (i % 5) for i in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    folder = tmp_path / "ids"
+    folder.mkdir()
+    (folder / "shard-000000-0000-dead.part").write_bytes(b"half")
+    manifest = tokenfiles.write(df, str(folder))
+    names = {r["file"] for r in manifest.collect()}
+    assert {str(x) for x in folder.iterdir() if not x.name.startswith(".")} == names and len(names) > 8
+    encode, at = library(tokenfiles.VOCABULARY), 0
+    out = got(tokenfiles.read(manifest))
+    for k, t in texts.items():
+        n = len(encode(t)) // 4 + 1
+        assert (out[k]["start"], out[k]["n_tokens"]) == (at, n)
+        at += n
+    seen = [s.doc_id(i) for r in manifest.orderBy("shard", "part").collect() for s in [tokenfiles.Shard(r["folder"], r["file"])] for i in range(s.documents)]
+    assert seen == sorted(texts)
+
+
 def kept(texts: dict) -> dict:
     seen, out = set(), {}
     for k, b in texts.items():
