@@ -15,6 +15,8 @@ import struct
 import numpy as np
 
 SAMPLE = 256
+#: Values that are spread out into bits at once.
+BLOCK = 1 << 16
 HEADER = struct.Struct("<QQQB3x")  # values, universe, bits of the high vector, low bits
 
 
@@ -22,14 +24,19 @@ def _pack(values: np.ndarray, bits: int) -> bytes:
     if not bits or not len(values):
         return b""
     shifts = np.arange(bits, dtype=np.uint64)
-    return np.packbits(((values.astype(np.uint64)[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little").tobytes()
+    parts = (values[a : a + BLOCK].astype(np.uint64)[:, None] >> shifts for a in range(0, len(values), BLOCK))  # a block fills whole bytes
+    return b"".join(np.packbits((x & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little").tobytes() for x in parts)
 
 
 def _unpack(data: bytes, bits: int, n: int) -> np.ndarray:
     if not bits:
         return np.zeros(n, np.uint64)
-    flat = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little", count=n * bits).reshape(n, bits)
-    return (flat.astype(np.uint64) << np.arange(bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    out, shifts = np.empty(n, np.uint64), np.arange(bits, dtype=np.uint64)
+    for a in range(0, n, BLOCK):
+        m = min(BLOCK, n - a)
+        flat = np.unpackbits(np.frombuffer(data, np.uint8, (m * bits + 7) // 8, a * bits // 8), bitorder="little", count=m * bits).reshape(m, bits)
+        out[a : a + m] = (flat.astype(np.uint64) << shifts).sum(1, dtype=np.uint64)
+    return out
 
 
 def _one(data: bytes, bits: int, i: int) -> int:

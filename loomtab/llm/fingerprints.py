@@ -114,7 +114,7 @@ def compare_with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
     """
     spark = common.prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    cuts = np.array(_block_starts(docs.select("doc_id"), blocks or BLOCKS * common.width(spark)), np.int64)
+    cuts = np.array(_block_starts(docs.select("doc_id"), blocks or BLOCKS * common.width(spark, docs)), np.int64)
 
     def block_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +139,7 @@ def compare_with_next(docs: DataFrame, blocks: int | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([goes_to[i] for i in ids[guests].tolist()], pa.int32()), pa.array(np.ones(len(guests), bool)), *part.columns], names)
 
     dealt = docs.where("doc_id is not null").mapInArrow(deal, "block int, guest boolean, doc_id long, text string")
-    ordered = dealt.repartition(common.width(spark), "block").sortWithinPartitions("block", "guest", F.col("doc_id").desc(), "text")
+    ordered = dealt.repartition(common.width(spark, docs), "block").sortWithinPartitions("block", "guest", F.col("doc_id").desc(), "text")
     return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_distinct double, edited_in_own double, own_in_edited double")
 
 
@@ -167,4 +167,5 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op3_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and likenesses of every document that has a doc_id; other cases as the module names them."""
     return compare_with_next(common.documents(spark, sf_dir, "doc_id", "text"))

@@ -15,6 +15,7 @@ are separate documents; an empty table gives no shard and no rows; other columns
 
 from __future__ import annotations
 
+import array
 import struct
 import uuid
 import zlib
@@ -35,6 +36,8 @@ MAGIC = b"IDSHARD1"
 FOOTER = struct.Struct("<BqQQQQ8s")  # id width, first doc_id, rows without doc_id, start of the boundaries, of the doc_ids, of the footer
 #: Ids that a reader holds at once, unless one document has more.
 READ_IDS = 1 << 20
+#: Documents and ids of a shard at most.
+SHARD_DOCS, SHARD_IDS = 2_000_000, 1 << 30
 
 
 def _files(uri: str):
@@ -51,47 +54,87 @@ def folder_uri(spark: SparkSession, path: str) -> str:
     return at.replace("file:/", "file:///", 1) if at.startswith("file:/") and not at.startswith("file://") else at
 
 
-def _tail(doc_ids: list[int | None], lengths: list[int], width: int) -> bytes:
-    """What follows the ids in a shard's file."""
-    bare = sum(i is None for i in doc_ids)
-    known = np.array(doc_ids[bare:], np.int64)
+def _tail(bare: int, doc_ids: array.array, lengths: array.array, width: int) -> bytes:
+    """What follows the ids in a shard's file; bare rows without doc_id come before those with one."""
+    known = np.frombuffer(doc_ids, np.int64) if doc_ids else np.empty(0, np.int64)
     first = int(known[0]) if len(known) else 0
-    ends = np.concatenate(([0], np.cumsum(lengths)))
+    ends = np.concatenate(([0], np.cumsum(np.frombuffer(lengths, np.int64))))
     a = len(MAGIC) + int(ends[-1]) * width
     one, two = EliasFano.of(ends).to_bytes(), EliasFano.of(known - first).to_bytes()
     return one + two + FOOTER.pack(width, first, bare, a, a + len(one), a + len(one) + len(two), MAGIC)
 
 
 def write(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
-    """Encode docs (doc_id, text) into shards below folder; returns the stored manifest (shard, file, documents, ids)."""
+    """Encode docs (doc_id, text) into shards below folder; returns the stored manifest (shard, part, file, documents, ids).
+
+    A task's documents go into one shard, or into several parts of SHARD_DOCS documents or SHARD_IDS ids at most (but one
+    document has one part), so what a task holds beside the open file does not grow with its share of the table.
+    """
     spark = common.prepare(docs.sparkSession)
     uri = folder_uri(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder, out = TaskContext.get().partitionId(), tokens.encoder(vocabulary), None
+        shard, encoder, end = TaskContext.get().partitionId(), tokens.encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         small = max(encoder.size(), end_id + 1) <= 1 << 16
-        end, lengths, ids = np.array([end_id], "<u4").tobytes(), [], []
+        files, base = _files(uri)
+        open_, part = None, 0
         for batch in batches:
-            if out is None:
-                files, base = _files(uri)
+            if not part and open_ is None:
                 files.create_dir(base, recursive=True)
-                name = f"{base}/shard-{shard:06d}-{uuid.uuid4().hex[:8]}"
-                out = files.open_output_stream(f"{name}.part")
-                out.write(MAGIC)
-            ids += batch.column(0).to_pylist()
-            for text in batch.column(1).to_pylist():
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if open_ is None:
+                    open_ = _Open(files, f"{base}/shard-{shard:06d}-{part:04d}-{uuid.uuid4().hex[:8]}", small)
                 b = (encoder.encode(text) if text else b"") + end
-                lengths.append(len(b) // 4)
-                out.write(np.frombuffer(b, "<u4").astype("<u2").tobytes() if small else b)
-        if out is None:
-            return
-        out.write(_tail(ids, lengths, 2 if small else 4))
-        out.close()
-        files.move(f"{name}.part", name)
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([name], pa.string()), pa.array([len(ids)], pa.int64()), pa.array([sum(lengths)], pa.int64())], ["shard", "file", "documents", "ids"])
+                open_.add(doc_id, b)
+                if len(open_.lengths) >= SHARD_DOCS or open_.total >= SHARD_IDS:
+                    yield open_.close(shard, part)
+                    open_, part = None, part + 1
+        if open_ is not None:
+            yield open_.close(shard, part)
+
+    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(common.width(spark, docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    manifest = common.stored(ordered.mapInArrow(run, "shard int, part int, file string, documents long, ids long"), "manifest")
+    _sweep(uri, manifest)
+    return manifest.withColumn("folder", F.lit(uri))
+
+
+class _Open:
+    """A shard that is being written."""
+
+    def __init__(self, files, name: str, small: bool):
+        self.files, self.name, self.small = files, name, small
+        self.out = files.open_output_stream(f"{name}.part")
+        self.out.write(MAGIC)
+        self.bare, self.total = 0, 0
+        self.doc_ids, self.lengths = array.array("q"), array.array("q")
+
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        if doc_id is None:
+            self.bare += 1
+        else:
+            self.doc_ids.append(doc_id)
+        self.lengths.append(len(ids) // 4)
+        self.total += len(ids) // 4
+        self.out.write(np.frombuffer(ids, "<u4").astype("<u2").tobytes() if self.small else ids)
+
+    def close(self, shard: int, part: int) -> pa.RecordBatch:
+        self.out.write(_tail(self.bare, self.doc_ids, self.lengths, 2 if self.small else 4))
+        self.out.close()
+        self.files.move(f"{self.name}.part", self.name)
+        row = ((shard, pa.int32()), (part, pa.int32()), (self.name, pa.string()), (len(self.lengths), pa.int64()), (self.total, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in row], ["shard", "part", "file", "documents", "ids"])
+
+
+def _sweep(uri: str, manifest: DataFrame) -> None:
+    """Remove what killed or repeated tasks left in the folder: files that the manifest does not name. Its rows are one a shard."""
+    from pyarrow import fs
 
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(common.width(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return common.stored(ordered.mapInArrow(run, "shard int, file string, documents long, ids long"), "manifest").withColumn("folder", F.lit(uri))
+    files, base = _files(uri)
+    named = {r["file"] for r in manifest.select("file").collect()}
+    if named:
+        for x in files.get_file_info(fs.FileSelector(base)):
+            if x.type == fs.FileType.File and x.path not in named and x.base_name.startswith("shard-"):
+                files.delete_file(x.path)
 
 
 class Shard:
@@ -122,7 +165,7 @@ class Shard:
 def read(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the shards of a manifest; start counts ids over all shards."""
     spark = common.prepare(manifest.sparkSession)
-    rows = manifest.orderBy("shard").collect()  # one small row a shard
+    rows = manifest.orderBy("shard", "part").collect()  # one small row a shard
     base, todo = 0, []
     for r in rows:
         todo.append((r["folder"], r["file"], base))
@@ -146,5 +189,6 @@ def read(manifest: DataFrame) -> DataFrame:
 
 
 def op8_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the files, read back from them, in the cases that the module names."""
     docs = common.documents(spark, sf_dir, "doc_id", "text")
     return read(write(docs, common.new_path(spark, "ids")))
