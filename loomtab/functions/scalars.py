@@ -75,11 +75,6 @@ def width_bucket(x: Column | str, low: float, high: float, n: int, legacy: bool
     return (F.when(x % size == 0, 1).otherwise(0) + F.least(F.ceil((x - low) / size), F.lit(n + 1))).cast("long")
 
 
-def half_up(x: Column, digits: int) -> Column:
-    """Rounding of a quotient of whole numbers, in the same steps as SQL's floor."""
-    scale = float(10**digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
-
 
 def mean(total: Column, count: Column, digits: int, unit: int = 1) -> Column:
     """A mean from whole sums, total / count / unit, that no order of addition can change."""

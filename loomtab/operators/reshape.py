@@ -88,7 +88,3 @@ def results_as_dict(df: DataFrame, limit: int = DRIVER_ROWS) -> dict[str, tuple]
 
 def group_by_first(df: DataFrame, n: int, *aggregates: Column) -> DataFrame:
     return df.groupBy(*df.columns[:n]).agg(*aggregates)
-
-
-def stack_rows(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

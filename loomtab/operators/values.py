@@ -9,8 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 FILLS = ("fill_zero", "fill_unknown", "fill_forward", "fill_backward")
-#: Lookup tables of at most so many rows are broadcast; larger ones are joined as Spark sees fit.
-BROADCAST_ROWS = 100_000
+#: Lookup tables of at most so many bytes are broadcast, or of so many rows where Spark knows no size; larger ones are joined as Spark sees fit.
+BROADCAST_BYTES, BROADCAST_ROWS = 10 << 20, 100_000
 
 
 def mapped(column: str, pairs: dict[str, str | None]) -> Column:
@@ -38,13 +38,24 @@ def remap_counts(df: DataFrame, maps: dict[str, dict[str, str | None]]) -> DataF
     return df.agg(changed.alias("all")).select(F.inline("all"))
 
 
-def _sized(lookup: DataFrame) -> DataFrame:
-    return F.broadcast(lookup) if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else lookup
+def _is_small(lookup: DataFrame) -> bool:
+    """By the sizes that the plan's sources state; rows are counted only where one states none."""
+    leaves = lookup._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if sizes and max(sizes) < 1 << 60:
+        return sum(sizes) <= BROADCAST_BYTES
+    return lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def lookup_normalize(df: DataFrame, column: str, lookup: DataFrame, to: str | None = None) -> DataFrame:
-    """The lookup's target_value for the column's value, or the value itself. lookup: (source_value, target_value), unique sources."""
-    side = _sized(lookup.select(F.col("source_value").alias("_source"), F.col("target_value").alias("_target")))
+    """The lookup's target_value for the column's value, or the value itself. lookup: (source_value, target_value).
+
+    A source_value that stands there twice is an error when the result is read: it would double the rows of df.
+    """
+    twice = F.raise_error(F.concat(F.lit("the lookup has several targets for "), F.col("_source"))).cast("string")
+    side = lookup.where("source_value is not null").groupBy(F.col("source_value").alias("_source")).agg(F.max("target_value").alias("_target"), F.count(F.lit(1)).alias("_n"))
+    side = side.select("_source", F.when(F.col("_n") > 1, twice).otherwise(F.col("_target")).alias("_target"))
+    side = F.broadcast(side) if _is_small(lookup) else side
     out = df.join(side, F.col(column) == F.col("_source"), "left")
     return out.withColumn(to or column, F.coalesce("_target", column)).drop("_source", "_target")
 
@@ -86,8 +97,9 @@ def _carry(df: DataFrame, how: dict[str, str], order: str) -> DataFrame:
     before, after = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1), W.orderBy("_part").rowsBetween(1, W.unboundedFollowing)
     over = [(F.last(f"_end_{c}", True).over(before) if h == "fill_forward" else F.first(f"_end_{c}", True).over(after)).alias(f"_over_{c}") for c, h in how.items()]
     carried = ends.select("_part", *over)  # one row for each range
-    own = W.partitionBy("_part").orderBy(order)
-    fills = {c: F.coalesce(F.last(c, True).over(own.rowsBetween(W.unboundedPreceding, 0)) if h == "fill_forward" else F.first(c, True).over(own.rowsBetween(0, W.unboundedFollowing)), F.col(f"_over_{c}")) for c, h in how.items()}
+    # both ways look back only, backward fills from the far end: a frame that reaches forward would be read anew for each row
+    seen = {h: W.partitionBy("_part").orderBy(F.asc(order) if h == "fill_forward" else F.desc(order)).rowsBetween(W.unboundedPreceding, 0) for h in how.values()}
+    fills = {c: F.coalesce(F.last(c, True).over(seen[h]), F.col(f"_over_{c}")) for c, h in how.items()}
     return parted.join(F.broadcast(carried), "_part").withColumns(fills).select(*df.columns)
 
 

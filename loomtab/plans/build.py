@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from loomtab.sources.sinks import export_table
@@ -13,33 +12,45 @@ from loomtab.sources.sinks import export_table
 from . import marts
 
 
-def build_marts(tasks: DataFrame, workers: DataFrame, employees: DataFrame, people: DataFrame, as_of: str) -> dict[str, DataFrame]:
+class Built(dict[str, DataFrame]):
+    """Marts by name, and the tables they share."""
+
+    shared: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Give back what the shared tables hold; the marts still work, but compute it anew."""
+        for df in self.shared:
+            df.unpersist()
+
+
+def build_marts(tasks: DataFrame, workers: DataFrame, employees: DataFrame, people: DataFrame, as_of: str) -> Built:
     """Every fact, mart and report of staged tables, by name; nothing runs until one is used.
 
-    The staged tasks are the one thing that all share, so they are persisted; the first mart that runs fills the cache.
+    All share the staged tasks, and those with workers or employees share the one join of them: both are persisted, and
+    the first mart that runs fills the cache. `release` gives it back.
     """
     shared = tasks.persist(StorageLevel.MEMORY_AND_DISK)
-    return {
+    joined = marts.tasks_joined(shared, workers, employees).persist(StorageLevel.MEMORY_AND_DISK)
+    built = Built({
         "fact_task_completed": marts.fact_task_completed(shared), "fact_task_current": marts.fact_task_current(shared, as_of), "fact_task_event": marts.fact_task_event(shared),
-        "fact_task_rework": marts.fact_task_rework(shared), "tasks_enriched": marts.tasks_enriched(shared, workers, employees), "mart_team_capacity": marts.mart_team_capacity(workers),
-        "mart_team_demand": marts.mart_team_demand(shared, workers), "mart_onshore_offshore": marts.mart_onshore_offshore(shared, employees), "mart_backlog": marts.mart_backlog(shared, as_of),
+        "fact_task_rework": marts.fact_task_rework(shared), "tasks_enriched": marts.enriched_of(joined), "mart_team_capacity": marts.mart_team_capacity(workers),
+        "mart_team_demand": marts.demand_of(joined), "mart_onshore_offshore": marts.onshore_of(joined), "mart_backlog": marts.mart_backlog(shared, as_of),
         "mart_turnaround": marts.mart_turnaround(shared), "mart_daily_trend": marts.mart_daily_trend(shared), "report_tasks_full": marts.with_durations(marts.tasks_by_department(shared, people)),
         "report_tasks_by_originator": marts.tasks_by_originator(shared, people), "report_daily_volume": marts.daily_volume(shared), "report_drawer_performance": marts.drawer_summary(shared),
         "report_carrier_workload": marts.report_carrier_workload(shared), "report_team_workload": marts.team_workload(shared, people), "report_department": marts.department_performance(shared, people),
         "report_tasks_overview": marts.tasks_overview(shared),
-    }
+    })
+    built.shared = (joined, shared)
+    return built
 
 
 def warehouse_build(spark: SparkSession, paths: dict[str, str], optional: tuple[str, ...] = (), write: Callable[[DataFrame, str], None] = export_table) -> list[str]:
     """Load Parquet tables into the warehouse by name; an optional one that is missing is passed over. Returns the names written."""
     done = []
     for name, path in paths.items():
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
-            if name not in optional:
-                raise
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if name in optional and not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
             continue
-        write(df, name)
+        write(spark.read.parquet(path), name)
         done.append(name)
     return done

@@ -21,11 +21,16 @@ STEPS = ("read", "conform", "cast", "map", "combine", "fill", "validate")
 
 @dataclass(frozen=True)
 class Curated:
-    """clean: the table; rejected: raw rows that could not be cast; report: one row for each check."""
+    """clean: the table; rejected: raw rows that could not be cast; report: one row for each check; held: the stacked raw rows that all three read, persisted."""
 
     clean: DataFrame
     rejected: DataFrame
     report: DataFrame
+    held: DataFrame
+
+    def release(self) -> None:
+        """Give back what the stacked raw rows hold; the results still work, but read the files anew."""
+        self.held.unpersist()
 
     def passed(self) -> bool:
         return not self.report.where("not passed").take(1)
@@ -67,7 +72,7 @@ def run_dataset(spark: SparkSession, spec: DatasetSpec, paths: dict[str, str | l
     filled = values.fill(stamped, {c.name: c.fill_strategy for c in spec.columns if c.fill_strategy})
     extra = [c for c in GENERATED if c not in spec.declared]
     clean = filled.select(*spec.declared, *extra)
-    return Curated(clean, bad.select(*spec.declared, "_source", "_file"), checks.validate_dataset(clean, spec))
+    return Curated(clean, bad.select(*spec.declared, "_source", "_file"), checks.validate_dataset(clean, spec), stacked)
 
 
 def _numbered(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ arguments.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab.functions.scalars import avg_hours, collapse_spaces, date_diff, hours_of, mean, missing_to_null, percent, trim_lower, upper_domain
@@ -113,12 +114,31 @@ def _workers(workers: DataFrame, *columns: str) -> DataFrame:
     return workers.select(trim_lower("employee_id").alias("_worker"), *columns)
 
 
-def tasks_enriched(tasks: DataFrame, workers: DataFrame, employees: DataFrame) -> DataFrame:
-    """Every task with its worker and employee; several workers of one id give several rows. Marts share this one join."""
-    own = _workers(workers, "teammate", F.col("job_profile").alias("worker_job_profile"), "business_title", "management_level", "cost_center", "cost_center_hierarchy", "fte", "direct_manager")
+def tasks_joined(tasks: DataFrame, workers: DataFrame, employees: DataFrame) -> DataFrame:
+    """Every task with its worker and its employee, who is one at most; several workers of one id give several rows.
+
+    _nth_worker tells such rows apart, so that what counts each task once takes the first. Marts share this one join.
+    """
+    nth = F.row_number().over(W.partitionBy("_worker").orderBy("teammate", "cost_center", "management_level"))
+    own = _workers(workers, "teammate", F.col("job_profile").alias("worker_job_profile"), "business_title", "management_level", "cost_center", "cost_center_hierarchy", "fte", "direct_manager").withColumn("_nth_worker", nth)
     known = employees.select(F.col("employee_id").alias("_employee"), F.col("source_system").alias("employee_source"))
-    out = tasks.join(own, F.col("assignedto") == F.col("_worker"), "left").join(known, F.col("assignedto") == F.col("_employee"), "left").drop("_worker", "_employee")
-    return with_durations(out)
+    return tasks.join(own, F.col("assignedto") == F.col("_worker"), "left").join(known, F.col("assignedto") == F.col("_employee"), "left").drop("_worker", "_employee")
+
+
+def enriched_of(joined: DataFrame) -> DataFrame:
+    return with_durations(joined.drop("_nth_worker"))
+
+
+def demand_of(joined: DataFrame) -> DataFrame:
+    return _demand(_timed(joined).withColumnRenamed("cost_center_hierarchy", "department"))
+
+
+def onshore_of(joined: DataFrame) -> DataFrame:
+    return _onshore(_timed(joined).where("coalesce(_nth_worker, 1) = 1").withColumnRenamed("employee_source", "source_system"))
+
+
+def tasks_enriched(tasks: DataFrame, workers: DataFrame, employees: DataFrame) -> DataFrame:
+    return enriched_of(tasks_joined(tasks, workers, employees))
 
 
 def with_durations(tasks: DataFrame) -> DataFrame:
@@ -136,13 +156,19 @@ def _timed(tasks: DataFrame) -> DataFrame:
 
 def mart_team_demand(tasks: DataFrame, workers: DataFrame) -> DataFrame:
     own = _workers(workers, F.col("cost_center_hierarchy").alias("department"), "cost_center")
-    joined = _timed(tasks).join(own, F.col("assignedto") == F.col("_worker"), "left")
+    return _demand(_timed(tasks).join(own, F.col("assignedto") == F.col("_worker"), "left"))
+
+
+def _demand(joined: DataFrame) -> DataFrame:
     return joined.groupBy("department", "cost_center", F.to_date("dateinitiated").alias("task_week")).agg(F.count(F.lit(1)).alias("task_count"), _n(DONE).alias("completed"), avg_hours(_minutes()).alias("avg_handle_hours"))
 
 
 def mart_onshore_offshore(tasks: DataFrame, employees: DataFrame) -> DataFrame:
     known = employees.select(F.col("employee_id").alias("_employee"), "source_system")
-    joined = _timed(tasks).join(known, F.col("assignedto") == F.col("_employee"), "left")
+    return _onshore(_timed(tasks).join(known, F.col("assignedto") == F.col("_employee"), "left"))
+
+
+def _onshore(joined: DataFrame) -> DataFrame:
     return joined.groupBy("source_system", "flowname", "stepname").agg(F.count(F.lit(1)).alias("task_count"), avg_hours(_minutes()).alias("avg_handle_hours"), percent(_n(DONE), F.count(F.lit(1))).alias("completion_rate"))
 
 

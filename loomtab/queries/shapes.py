@@ -334,13 +334,13 @@ def _(s, d):
     return reshape.date_spine(s, "month", str(r["a"]), str(r["b"]))
 
 
-@query("date_spine_gap_join", """SELECT CAST(day AS DATE) AS day, count(event_id) AS n FROM (SELECT CAST(min(ts) AS DATE) + CAST(i AS INTEGER) AS day FROM events, range(40) AS r(i) GROUP BY i)
+@query("date_spine_gap_join", """SELECT CAST(day AS DATE) AS day, count(event_id) AS n FROM (SELECT CAST(min(ts) AS DATE) + CAST(i AS INTEGER) AS day FROM events, range((SELECT date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1 FROM events)) AS r(i) GROUP BY i)
   LEFT JOIN events ON CAST(ts AS DATE) = day AND event_type = 'purchase' GROUP BY 1""")
 def _(s, d):
     import datetime
 
-    first = table(s, d, "events").agg(F.to_date(F.min("ts")).alias("a")).first()["a"]
-    spine = reshape.date_spine(s, "day", f"{first} 00:00:00", f"{first + datetime.timedelta(40)} 00:00:00").select(F.to_date("date_day").alias("day"))
+    first, last = table(s, d, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    spine = reshape.date_spine(s, "day", f"{first} 00:00:00", f"{last + datetime.timedelta(1)} 00:00:00").select(F.to_date("date_day").alias("day"))
     daily = table(s, d, "events").where("event_type = 'purchase'").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return spine.join(daily, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("n"))
 

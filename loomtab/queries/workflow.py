@@ -228,13 +228,13 @@ def _(s, d):
     return latest(tasks(s, d), ["taskid"], [F.desc_nulls_last("endtime"), F.asc("row_id")]).select("taskid", "row_id", "stepname")
 
 
-@query("dedup_exact_events", oracle("SELECT row_id, taskid, stepname FROM t QUALIFY row_number() OVER (PARTITION BY taskid, stepname, policynumber, flowname, carrier ORDER BY row_id) = 1"))
+@query("dedup_exact_events", oracle("SELECT row_id, taskid, stepname FROM t WHERE dateavailable IS NOT NULL QUALIFY row_number() OVER (PARTITION BY taskid, stepname, dateavailable, starttime, endtime ORDER BY row_id) = 1"))
 def _(s, d):
     from pyspark.sql import functions as F
 
     from loomtab.operators.tables import latest
 
-    return latest(tasks(s, d), ["taskid", "stepname", "policynumber", "flowname", "carrier"], [F.asc("row_id")]).select("row_id", "taskid", "stepname")
+    return latest(tasks(s, d).where("dateavailable is not null"), ["taskid", "stepname", "dateavailable", "starttime", "endtime"], [F.asc("row_id")]).select("row_id", "taskid", "stepname")
 
 
 @query("step_occurrence", oracle("SELECT row_id, row_number() OVER (PARTITION BY taskid, stepname ORDER BY dateavailable NULLS LAST, starttime NULLS LAST, endtime NULLS LAST, row_id) AS occurrence FROM t"))

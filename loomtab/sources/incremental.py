@@ -43,6 +43,18 @@ def orphans(outputs: DataFrame, inputs: DataFrame, key: str) -> DataFrame:
     return outputs.join(inputs.select(key).distinct(), key, "left_anti")
 
 
+def remove_orphans(spark: SparkSession, folder: str, outputs: DataFrame, inputs: DataFrame, key: str) -> list[str]:
+    """Delete the outputs (key, name) below folder whose input is gone, and give their names; a file that is gone already is no error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(r["name"] for r in orphans(outputs, inputs, key).select("name").distinct().collect())  # one row a file
+    for n in names:
+        if "/" in n or n in ("", ".", ".."):
+            raise ValueError(f"{n!r} is no name of a file in {folder}")
+        fs.delete(hadoop(folder, n), True)
+    return names
+
+
 def may_skip(changes: DataFrame, output_exists: bool, force: bool, from_start: bool) -> bool:
     """Nothing changed since the output was written, and the run was to begin at the first step."""
     return output_exists and from_start and not force and not changes.where("status <> 'unchanged'").take(1)

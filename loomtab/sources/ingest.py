@@ -32,8 +32,16 @@ def read_raw(spark: SparkSession, paths: str | list[str], fmt: str = "csv", **op
 
 def clean_files(spark: SparkSession, folder: str) -> DataFrame:
     """The Parquet files of a folder that hold clean rows: neither the sidecars of bad rows nor unfinished ones."""
-    df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(folder)
-    return df.where(~F.col("_metadata.file_name").endswith("_errors.parquet") & ~F.col("_metadata.file_name").startswith("tmp"))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)  # one entry a file; their schemas are never merged with the sidecars'
+    names = sorted(x.getPath().toString() for x in found if _is_clean(x.getPath().getName()))
+    if not names:
+        raise FileNotFoundError(f"{folder} holds no clean Parquet file")
+    return spark.read.option("mergeSchema", True).parquet(*names)
+
+
+def _is_clean(name: str) -> bool:
+    return name.endswith(".parquet") and not name.endswith("_errors.parquet") and not name.startswith(("tmp", ".", "_"))
 
 
 def file_stem() -> F.Column:

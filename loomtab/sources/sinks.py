@@ -9,16 +9,25 @@ from pyspark.sql import functions as F
 
 
 def overwrite_atomic(df: DataFrame, path: str) -> DataFrame:
-    """Replace the Parquet table at path, which df may itself read: write beside it, then change names."""
+    """Replace the Parquet table at path, which df may itself read: write beside it, then change names.
+
+    Between the two changes of name there is a moment without the table. If the second fails, the old table gets its name
+    back; it is deleted last of all.
+    """
     spark = df.sparkSession
     beside, old = f"{path}.new-{uuid.uuid4().hex[:8]}", f"{path}.old-{uuid.uuid4().hex[:8]}"
     df.write.parquet(beside)
     path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path_of(path)):
-        fs.rename(path_of(path), path_of(old))
-    fs.rename(path_of(beside), path_of(path))
-    fs.delete(path_of(old), True)
+    there = fs.exists(path_of(path))
+    if there and not fs.rename(path_of(path), path_of(old)):
+        raise OSError(f"{path} could not be set aside; the new rows are in {beside}")
+    if not fs.rename(path_of(beside), path_of(path)):
+        if there and not fs.rename(path_of(old), path_of(path)):
+            raise OSError(f"neither {beside} nor {old}, the old table, could be named {path}")
+        raise OSError(f"{beside} could not be named {path}, which is as it was")
+    if there:
+        fs.delete(path_of(old), True)
     spark.catalog.refreshByPath(path)
     return spark.read.parquet(path)
 

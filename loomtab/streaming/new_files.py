@@ -28,8 +28,3 @@ def take_new(spark: SparkSession, folder: str, columns: list[str], sink: Callabl
 def write_by_number(path: str) -> Callable[[DataFrame, int], None]:
     """A sink that may be called twice for a batch: each number has a folder of its own."""
     return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-
-def windowed_counts(events: DataFrame, ts: str, key: str, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Rows by window and key, of a stream (late rows are dropped beyond the watermark) or of a table."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, length), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").alias("start"), key, "n")

@@ -2,6 +2,7 @@ import uuid
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from loomtab.plans import build
 from loomtab.queries import base
@@ -15,7 +16,17 @@ def test_marts_share_the_staged_tasks(spark):
     made = build.build_marts(tasks, base.workers(spark, DIR), base.master(spark, DIR), base.people(spark, DIR), base.AS_OF)
     assert len(made) == 19 and all("InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString() for n, df in made.items() if n != "mart_team_capacity")
     assert made["report_daily_volume"].count() > 0
-    tasks.unpersist()
+    from loomtab.plans import marts
+
+    twice = base.workers(spark, DIR).unionByName(base.workers(spark, DIR).withColumn("teammate", F.lit("zz")))  # several workers of one id
+    for workers in (base.workers(spark, DIR), twice):
+        again = build.build_marts(tasks, workers, base.master(spark, DIR), base.people(spark, DIR), base.AS_OF)
+        alone = {"mart_team_demand": marts.mart_team_demand(tasks, workers), "mart_onshore_offshore": marts.mart_onshore_offshore(tasks, base.master(spark, DIR)), "tasks_enriched": marts.tasks_enriched(tasks, workers, base.master(spark, DIR))}
+        for n, df in alone.items():
+            assert sorted(map(str, again[n].select(df.columns).collect())) == sorted(map(str, df.collect())), n
+        again.release()
+    made.release()
+    assert not any(df.is_cached for df in made.shared)
 
 
 def test_warehouse(spark, tmp_path):
@@ -42,9 +53,17 @@ def test_clean_files_and_seeds(spark, tmp_path):
         part.rename(tmp_path / "all" / f"{name}.parquet")
     df = ingest.clean_files(spark, str(tmp_path / "all"))
     assert df.count() == 2
+    # a sidecar holds text where the clean file holds a number; a second clean file has a column more
+    for name, sql in (("y_errors", "select 'x' as id"), ("z", "select 7L as id, 'more' as extra")):
+        spark.sql(sql).coalesce(1).write.parquet(str(tmp_path / name))
+        next((tmp_path / name).glob("part-*.parquet")).rename(tmp_path / "all" / f"{name}.parquet")
+    df = ingest.clean_files(spark, str(tmp_path / "all"))
+    assert dict(df.dtypes) == {"id": "bigint", "extra": "string"} and df.count() == 3
+    with pytest.raises(FileNotFoundError):
+        ingest.clean_files(spark, str(tmp_path / "tmpx"))
     (tmp_path / "seed.csv").write_text("source_value,target_value\na,A\n")
     assert [tuple(r) for r in ingest.load_seed(spark, str(tmp_path / "seed.csv")).collect()] == [("a", "A")]
     (tmp_path / "d.csv").write_text(" a ,,b\n1,2,\n")
     raw = ingest.read_raw(spark, str(tmp_path / "d.csv"))
     assert raw.columns[0] == "a" and [tuple(r) for r in raw.collect()] == [("1", "2", None)]
-    assert set(ingest.sources(spark, str(tmp_path), "all")) == {"x", "x_errors", "tmpx"}
+    assert set(ingest.sources(spark, str(tmp_path), "all")) == {"x", "x_errors", "tmpx", "y_errors", "z"}

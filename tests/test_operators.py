@@ -74,6 +74,50 @@ def test_fills_and_numbers(spark):
     assert sorted(map(tuple, numbered.collect())) == [(1, 1), (3, 2), (5, 3), (9, 4)]
 
 
+def test_backward_fill_of_a_long_range(spark):
+    """One range of 300,000 rows with few values: a frame that reached forward would take minutes."""
+    import time
+
+    df = spark.range(300_000).selectExpr("id AS row_id", "if(id % 100000 = 99999, id, null) AS v").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        began = time.perf_counter()
+        assert values.fill(df, {"v": "fill_backward"}).agg(F.sum("v")).first()[0] == sum(100_000 * x for x in (99_999, 199_999, 299_999))
+        assert time.perf_counter() - began < 30
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_lookups_of_repeated_sources(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "v string")
+    once = spark.createDataFrame([("a", "A"), (None, "x"), (None, "y")], "source_value string, target_value string")
+    assert sorted(map(str, one(values.lookup_normalize(df, "v", once)))) == ["A", "None", "b"]
+    with pytest.raises(Exception, match="several targets"):
+        values.lookup_normalize(df, "v", once.unionByName(once)).collect()
+
+
+def test_row_ids_over_several_files(spark, tmp_path):
+    for n in range(3):
+        spark.range(n * 10, n * 10 + 4 + n).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    numbered = tables.add_row_id_by_file(df)
+    at = df.select("id", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("n")).collect()
+    want = {r["id"]: i for i, r in enumerate(sorted(at, key=lambda r: (r["f"], r["n"])), 1)}
+    assert {r["id"]: r["row_id"] for r in numbered.collect()} == want and len(want) == 15
+
+
+def test_provenance(spark, tmp_path):
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "p"))
+    got = ingest.with_provenance(spark.read.parquet(str(tmp_path / "p")), "2024-01-02 03:04:05").collect()
+    assert {r["_ingested_at"] for r in got} == {datetime.datetime(2024, 1, 2, 3, 4, 5)} and all(r["_source_file"].endswith(".parquet") for r in got)
+
+
+def test_a_missing_required_column_fails(spark):
+    spec = DatasetSpec("x", (ColumnSpec("k", "int64", primary_key=True), ColumnSpec("gone", nullable=False)))
+    report = checks.validate_dataset(spark.createDataFrame([(1,)], "k int"), spec).where("not passed").collect()
+    assert any("column" in r["check_name"] for r in report)
+
+
 def test_fill_has_no_single_partition_of_rows(spark):
     df = spark.range(100).selectExpr("id AS row_id", "if(id % 3 = 0, id, null) AS v")
     plan = tables.add_row_id(values.fill(df, {"v": "fill_forward"}), "row_id", "n")._jdf.queryExecution().executedPlan().toString()
@@ -153,6 +197,14 @@ def test_changes(spark, tmp_path):
     assert dict(map(tuple, incremental.detect_changes(now, state, force=True).collect()))["a.csv"] == "changed"
     after = {r["name"]: (r["first_seen"], r["last_processed"]) for r in incremental.next_state(now, state, "t2").collect()}
     assert after == {"a.csv": ("t1", "t1"), "b.csv": ("t1", "t2"), "d.csv": ("t2", "t2")}
+    kept = tmp_path / "out"
+    kept.mkdir()
+    for n in ("a.parquet", "c.parquet"):
+        (kept / n).write_text("x")
+    made = spark.createDataFrame([("a", "a.parquet"), ("c", "c.parquet"), ("z", "z.parquet")], "stem string, name string")
+    inputs = now.select(F.regexp_replace("name", "[.]csv$", "").alias("stem"))
+    assert incremental.remove_orphans(spark, str(kept), made, inputs, "stem") == ["c.parquet", "z.parquet"]
+    assert [x.name for x in kept.iterdir() if not x.name.startswith(".")] == ["a.parquet"]
     assert not incremental.may_skip(incremental.detect_changes(now, state), True, False, True)
 
 
@@ -164,6 +216,8 @@ def test_curate(spark, tmp_path):
     got = [tuple(r) for r in out.clean.orderBy("row_id").select("row_id", "id", "name", "value", "_source_file").collect()]
     assert got == [(1, 1, "Alpha", 1.5, "one.csv"), (2, 3, "c", 0.0, "one.csv"), (3, 4, "Unknown", 8.0, "two.csv")]
     assert [r["id"] for r in out.rejected.collect()] == ["x"] and out.passed()
+    out.release()
+    assert not out.held.is_cached and out.clean.count() == 3
     with pytest.raises(ValueError):
         curate.run_dataset(spark, DatasetSpec("m", (ColumnSpec("gone"),)), {"one": str(tmp_path / "one.csv")}, preflight=True)
 
@@ -182,6 +236,8 @@ def test_sinks(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
     assert sinks.overwrite_atomic(spark.read.parquet(path).where("id > 0"), path).count() == 2
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["t"]
+    assert sinks.overwrite_atomic(spark.range(5), str(tmp_path / "fresh")).count() == 5
     names = spark.createDataFrame([("Task_a",), ("task_b",), ("other",)], "table_name string")
     assert sorted(one(sinks.relations_by_prefix(names, "TASK", "%_b"))) == ["Task_a"]
     assert ingest.clean_headers(spark.createDataFrame([(1, 2)], "` a ` int, ` ` int")).columns == ["a", "_unnamed_1"]
