@@ -5,9 +5,12 @@ Headers come as a table (file, col), one row for each header of each file.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtab.functions.casts import KINDS, try_cast
 from loomtab.sources.spec import DatasetSpec
 
 from .tables import resolve
@@ -18,6 +21,30 @@ def headers_of(frames: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame([(n, c) for n, df in frames.items() for c in df.columns], "file string, col string")
 
 
+def filled_headers(frames: dict[str, DataFrame]) -> DataFrame:
+    """(file, col) of the headers under which a file has a value at all: all rows are read, each file in one pass."""
+    parts = []
+    for n, df in frames.items():
+        counts = F.array(*[F.struct(F.lit(c).alias("col"), F.count(F.col(f"`{c}`")).alias("n")) for c in df.columns])
+        parts.append(df.agg(counts.alias("all")).select(F.inline("all")).where("n > 0").select(F.lit(n).alias("file"), "col"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def kinds_in(df: DataFrame) -> DataFrame:
+    """(col, type): the first kind that every value of a column can be cast to from its text, in one pass; string if there is none, or no value."""
+    tried = [k for k in KINDS if k != "string"]
+    rows = []
+    for c in df.columns:
+        text = F.col(f"`{c}`").cast("string")
+        kind = F.lit("string")
+        for k in reversed(tried):
+            other = try_cast(text, k).isNull() if k != "int64" else ~try_cast(text, k).cast("double").eqNullSafe(try_cast(text, "float64"))
+            fits = (F.count_if(text.isNotNull() & (other | try_cast(text, k).isNull())) == 0) & (F.count(text) > 0)
+            kind = F.when(fits, k).otherwise(kind)
+        rows.append(F.struct(F.lit(c).alias("col"), kind.alias("type")))
+    return df.agg(F.array(*rows).alias("all")).select(F.inline("all"))
+
+
 def schema_drift(headers: DataFrame) -> DataFrame:
     """(col, present_in, missing_from, in_all) of every header."""
     files = headers.select("file").distinct()

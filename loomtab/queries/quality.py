@@ -226,14 +226,15 @@ def _(s, d):
     return checks.allowed_values(derived(s, d, HOLES), SPEC)
 
 
-# drift: the headers are those of the given tables, and names found in their rows
+# drift: headers, kinds and names are those found in the rows of the given tables
 
-HEADERS = "SELECT table_name AS file, column_name AS col FROM information_schema.columns WHERE table_name IN ({names})"
+#: Headers under which a table has a value, by counts over all its rows.
+HEADERS = """SELECT '{n}' AS file, col FROM (UNPIVOT (SELECT count(COLUMNS(*)) AS "\\0" FROM {n}) ON COLUMNS(*) INTO NAME col VALUE n) WHERE n > 0"""
 SIX = ("customer", "documents", "events", "labels", "orders", "supplier")
 
 
 def _headers(names: tuple[str, ...]) -> str:
-    return HEADERS.replace("{names}", ", ".join(f"'{n}'" for n in names))
+    return " UNION ALL ".join(HEADERS.replace("{n}", n) for n in names)
 
 
 def _frames(s, d, names=SIX):
@@ -243,7 +244,7 @@ def _frames(s, d, names=SIX):
 @query("schema_drift", f"""WITH h AS ({_headers(SIX)}), f AS (SELECT DISTINCT file FROM h) SELECT col, string_agg(file, ',' ORDER BY file) FILTER (WHERE there) AS present_in, coalesce(string_agg(file, ',' ORDER BY file) FILTER (WHERE NOT there), '') AS missing_from, bool_and(there) AS in_all
   FROM (SELECT f.file, c.col, h.col IS NOT NULL AS there FROM f CROSS JOIN (SELECT DISTINCT col FROM h) c LEFT JOIN h ON h.file = f.file AND h.col = c.col) GROUP BY 1""")
 def _(s, d):
-    return drift.schema_drift(drift.headers_of(_frames(s, d)))
+    return drift.schema_drift(drift.filled_headers(_frames(s, d)))
 
 
 VARIANTS = "SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(replace(p_name, ' ', '_')) END AS v FROM {part}"
@@ -257,7 +258,7 @@ def _(s, d):
 @query("drift_vs_baseline", f"""WITH h AS ({_headers(SIX)}), b AS (SELECT col FROM h WHERE file = 'documents'), r AS (SELECT * FROM h WHERE file <> 'documents')
   SELECT file, col, 'extra' AS status FROM r WHERE col NOT IN (SELECT col FROM b) UNION ALL SELECT f.file, b.col, 'missing' FROM (SELECT DISTINCT file FROM r) f CROSS JOIN b WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.file = f.file AND r.col = b.col)""")
 def _(s, d):
-    return drift.drift_vs_baseline(drift.headers_of(_frames(s, d)), "documents")
+    return drift.drift_vs_baseline(drift.filled_headers(_frames(s, d)), "documents")
 
 
 LABEL_SPEC = DatasetSpec("labels", (ColumnSpec("doc_id", "int64"), ColumnSpec("grade", "int64"), ColumnSpec("lang"), ColumnSpec("_ingested_at", "datetime64")), {"quality": "grade"})
@@ -267,12 +268,19 @@ LABEL_SPEC = DatasetSpec("labels", (ColumnSpec("doc_id", "int64"), ColumnSpec("g
   SELECT file, col, 'extra' AS status FROM m WHERE target NOT IN (SELECT target FROM s) UNION ALL SELECT file, col, 'aliased' FROM m WHERE target <> col AND target IN (SELECT target FROM s)
   UNION ALL SELECT f.file, s.target, 'missing' FROM (SELECT DISTINCT file FROM h) f CROSS JOIN s WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.file = f.file AND m.target = s.target)""")
 def _(s, d):
-    return drift.drift_vs_spec(drift.headers_of(_frames(s, d, ("labels", "documents"))), LABEL_SPEC)
+    return drift.drift_vs_spec(drift.filled_headers(_frames(s, d, ("labels", "documents"))), LABEL_SPEC)
 
 
-@query("type_drift", """SELECT coalesce(a.column_name, b.column_name) AS col, CASE WHEN a.column_name IS NULL THEN 'extra' WHEN b.column_name IS NULL THEN 'missing' ELSE 'type_mismatch' END AS status
-  FROM (SELECT column_name, data_type FROM information_schema.columns WHERE table_name = 'labels') a FULL JOIN (SELECT column_name, data_type FROM information_schema.columns WHERE table_name = 'documents') b ON a.column_name = b.column_name WHERE a.data_type IS DISTINCT FROM b.data_type""")
+def _kinds(name: str, columns: tuple[str, ...]) -> str:
+    """The kinds that DuckDB casts the values of a table's columns to."""
+    fits = lambda c, t: f"count_if({c} IS NOT NULL AND try_cast({c}::VARCHAR AS {t}) IS NULL) = 0 AND count({c}) > 0"
+    one = lambda c: f"SELECT '{c}' AS col, CASE WHEN {fits(c, 'BIGINT')} THEN 'int64' WHEN {fits(c, 'DOUBLE')} THEN 'float64' WHEN {fits(c, 'TIMESTAMP')} THEN 'datetime64' WHEN {fits(c, 'BOOLEAN')} THEN 'bool' ELSE 'string' END AS type FROM {name}"
+    return " UNION ALL ".join(map(one, columns))
+
+
+@query("type_drift", f"""SELECT coalesce(a.col, b.col) AS col, CASE WHEN a.col IS NULL THEN 'extra' WHEN b.col IS NULL THEN 'missing' ELSE 'type_mismatch' END AS status
+  FROM ({_kinds("labels", ("doc_id", "quality", "toxic"))}) a FULL JOIN ({_kinds("documents", ("doc_id", "text", "lang", "source", "n_chars"))}) b ON a.col = b.col WHERE a.type IS DISTINCT FROM b.type""")
 def _(s, d):
-    return drift.type_drift(drift.types_of(table(s, d, "labels")), drift.types_of(table(s, d, "documents")))
+    return drift.type_drift(drift.kinds_in(table(s, d, "labels")), drift.kinds_in(table(s, d, "documents")))
 
 

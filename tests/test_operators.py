@@ -243,6 +243,12 @@ def test_sinks(spark, tmp_path):
     assert ingest.clean_headers(spark.createDataFrame([(1, 2)], "` a ` int, ` ` int")).columns == ["a", "_unnamed_1"]
 
 
+def test_drift_of_values(spark):
+    df = spark.createDataFrame([("1", "1.5", "2024-01-02", "x", None), ("22", "2", None, "3", None)], "a string, b string, c string, d string, e string")
+    assert dict(map(tuple, drift.kinds_in(df).collect())) == {"a": "int64", "b": "float64", "c": "datetime64", "d": "string", "e": "string"}
+    assert sorted(map(tuple, drift.filled_headers({"f": df}).collect())) == [("f", x) for x in "abcd"]
+
+
 def test_drift(spark):
     headers = spark.createDataFrame([("f1", "Task ID"), ("f1", "extra"), ("f2", "task_id")], "file string, col string")
     spec = DatasetSpec("x", (ColumnSpec("task_id"), ColumnSpec("name")))
