@@ -360,6 +360,56 @@ def test_mixtures():
     assert scores[0] == 1 and abs(scores[1] - 0.7) < 0.05 and abs(shares[1, 1] - 0.3) < 0.05 and shares[1, 0] == 0
 
 
+def test_mixtures_by_plain_loops():
+    """EM and the backward choice of languages, text by text and word by word, with Python floats."""
+    rng, draw = random.Random(7), np.random.default_rng(7)
+    model = langid.LanguageModel(("aa", "bb", "cc"), draw.normal(-8, 1.2, (1 << langid.BITS, 3)).astype(np.float32))
+    texts = [" ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 5))) for _ in range(rng.randint(0, 25))) for _ in range(60)]
+
+    def em(words, allowed):
+        theta = [a / sum(allowed) for a in allowed]
+        for _ in range(langid.EM_STEPS):
+            total = [0.0] * 3
+            for w in words:
+                parts = [t * p for t, p in zip(theta, w, strict=True)]
+                total = [x + p / sum(parts) for x, p in zip(total, parts, strict=True)]
+            theta = [x / len(words) for x in total]
+        return theta, sum(math.log(sum(t * p for t, p in zip(theta, w, strict=True))) for w in words)
+
+    def plain(text):
+        words = []
+        for w in text.split():
+            own = [sum(float(model.log_p[g, k]) for g in langid._grams([w])[0]) for k in range(3)]
+            words.append([max(x - max(own), -langid.FLOOR) for x in own])
+        if not words:
+            return None
+        single = [sum(w[k] for w in words) for k in range(3)]
+        penalty = langid.PENALTY * math.log(len(words) + 1) / 2
+        if -max(single) <= penalty:
+            return [float(k == single.index(max(single))) for k in range(3)]
+        words, allowed = [[math.exp(x) for x in w] for w in words], [1, 1, 1]
+        theta, fit = em(words, allowed)
+        for _ in range(2):
+            least = min((t, k) for k, t in enumerate(theta) if allowed[k])[1]
+            tried = [a if k != least else 0 for k, a in enumerate(allowed)]
+            t, f = em(words, tried)
+            if fit - f >= penalty:
+                break
+            allowed, theta, fit = tried, t, f
+        return theta
+
+    names, scores, shares = langid.infer(model, texts)
+    mixed = 0
+    for i, t in enumerate(texts):
+        want = plain(t)
+        if want is None:
+            assert names[i] == "und" and scores[i] == 0
+            continue
+        assert shares[i] == pytest.approx(want, abs=1e-4) and scores[i] == pytest.approx(max(want), abs=1e-4)
+        mixed += max(want) < 0.99
+    assert mixed > 3
+
+
 def test_noisy_or_learns_and_locates():
     rng = random.Random(2)
     bags, labels, texts = [], [], []
