@@ -49,19 +49,30 @@ def count_units(text: Column) -> Column:
 
 def count_tokens(docs: DataFrame, vocabulary: str, column: str = "n_tokens") -> DataFrame:
     """docs with the number of ids of the whole text under a tokenizer file, in a last column (in place of one of that name)."""
+    return count_by_versions(docs, {column: vocabulary})
+
+
+def count_by_versions(docs: DataFrame, vocabularies: dict[str, str], keep_text: bool = True) -> DataFrame:
+    """docs with the number of ids of the whole text under each tokenizer file, in last columns named by the keys (in place of such).
+
+    One worker counts by all files in one pass, so texts leave the JVM once; without keep_text they do not come back.
+    """
     import pyarrow as pa
 
     common.prepare(docs.sparkSession)
-    docs = docs.drop(column)
+    docs = docs.drop(*vocabularies)
     at = docs.columns.index("text")
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
 
     def run(batches):
-        encode = tokens.encoder(vocabulary).encode
+        encoders = [tokens.encoder(path).encode for path in vocabularies.values()]
         for batch in batches:
-            n = [len(encode(t)) // 4 if t else 0 for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int64())], [*batch.schema.names, column])
+            texts = batch.column(at).to_pylist()
+            counts = [pa.array([len(encode(t)) // 4 if t else 0 for t in texts], pa.int64()) for encode in encoders]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *counts], [*(batch.schema.names[i] for i in kept), *vocabularies])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{column}` long"]))
+    fields = [f"`{docs.schema.fields[i].name}` {docs.schema.fields[i].dataType.simpleString()}" for i in kept]
+    return docs.mapInArrow(run, ", ".join([*fields, *(f"`{c}` long" for c in vocabularies)]))
 
 
 def events(docs: DataFrame, op: str, version: str, n_tokens: Column, seq: int = 0) -> DataFrame:
@@ -213,8 +224,7 @@ def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, lang, version, n_docs, n_tokens) of all documents under both public vocabularies, after the commits of `_history`."""
     first, second = VERSIONS
-    counted = count_tokens(count_tokens(_numbered(spark, sf_dir), f"{first}.json", first), f"{second}.json", second)
-    counted = common.stored(counted.drop("text"), "counts")
+    counted = common.stored(count_by_versions(_numbered(spark, sf_dir), {v: f"{v}.json" for v in VERSIONS}, keep_text=False), "counts")
     return _history(Ledger(spark, common.new_path(spark, "ledger")), counted, first, second)
 
 

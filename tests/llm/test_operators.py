@@ -234,6 +234,10 @@ def test_ledger_is_idempotent(spark):
     assert total()["a", "v"] == (1, 4) and not ledger.commit(4, first)
     n = rollups.count_tokens(spark.createDataFrame([("hello world",), (None,)], "text string"), "byte_bpe_50k.json").collect()
     assert [r["n_tokens"] for r in n] == [2, 0]
+    both = spark.createDataFrame([(1, "hello  World, ça", "x"), (2, None, "y"), (3, "", "z")], "id long, text string, byte_bpe_50k string")
+    both = rollups.count_by_versions(both, {v: f"{v}.json" for v in rollups.VERSIONS}, keep_text=False)
+    sizes = [len(library(f"{v}.json")("hello  World, ça")) // 4 for v in rollups.VERSIONS]
+    assert both.columns == ["id", *rollups.VERSIONS] and sorted(map(tuple, both.collect())) == [(1, *sizes), (2, 0, 0), (3, 0, 0)]
 
 
 def test_ledger_against_random_histories(spark):
