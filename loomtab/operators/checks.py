@@ -215,10 +215,18 @@ def null_rate_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return df.agg(rows.alias("all")).select(F.inline("all")).withColumn("passed", F.col("null_rate") <= F.col("threshold"))
 
 
-def dtype_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    kinds = {c: column_kind(k) for c, k in df.dtypes}
-    rows = [(c.name, c.dtype, kinds[c.name], c.dtype == kinds[c.name]) for c in spec.columns if c.name in kinds]
-    return df.sparkSession.createDataFrame(rows, "column_name string, expected string, actual string, passed boolean")
+def dtype_report(df: DataFrame, spec: DatasetSpec, found: DataFrame | None = None) -> DataFrame:
+    """(column_name, expected, actual, passed) of the declared columns that are there.
+
+    found: (col, type) as `drift.kinds_in` finds them in the values of a table of texts; without it the types are those that
+    df declares, and no data is read.
+    """
+    spark = df.sparkSession
+    if found is None:
+        found = spark.createDataFrame([(c, column_kind(k)) for c, k in df.dtypes], "col string, type string")
+    declared = spark.createDataFrame([(c.name, c.dtype) for c in spec.columns], "column_name string, expected string")
+    met = F.broadcast(declared).join(found.select(F.col("col").alias("column_name"), F.col("type").alias("actual")), "column_name")  # one row a column on both sides
+    return met.select("column_name", "expected", "actual", (F.col("expected") == F.col("actual")).alias("passed"))
 
 
 def validate_dataset(df: DataFrame, spec: DatasetSpec) -> DataFrame:

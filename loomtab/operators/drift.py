@@ -98,9 +98,15 @@ def type_drift(first: DataFrame, other: DataFrame) -> DataFrame:
     return a.join(b, "col", "full").select("col", status.alias("status")).where("status is not null")
 
 
+def preflight_report(headers: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """(col, status, n_files, blocks): the drift of all files against a declaration; a declared column that every file lacks blocks a run."""
+    files = headers.agg(F.count_distinct("file").alias("n_all"))  # one row
+    found = drift_vs_spec(headers, spec).groupBy("col", "status").agg(F.count_distinct("file").alias("n_files"))
+    return found.crossJoin(F.broadcast(files)).select("col", "status", "n_files", ((F.col("status") == "missing") & (F.col("n_files") == F.col("n_all"))).alias("blocks"))
+
+
 def preflight(headers: DataFrame, spec: DatasetSpec) -> tuple[bool, list[str], list[str]]:
     """(ok, extra headers, columns missing from every file); no files pass."""
-    files = headers.select("file").distinct().count()
-    drift = drift_vs_spec(headers, spec).groupBy("col", "status").agg(F.count_distinct("file").alias("n")).collect()  # distinct headers
-    lost = sorted(r["col"] for r in drift if r["status"] == "missing" and r["n"] == files)
-    return not lost, sorted({r["col"] for r in drift if r["status"] == "extra"}), lost
+    report = preflight_report(headers, spec).collect()  # distinct headers
+    lost = sorted(r["col"] for r in report if r["blocks"])
+    return not lost, sorted({r["col"] for r in report if r["status"] == "extra"}), lost

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtab.operators import checks, drift
+from loomtab.sources import ingest
 from loomtab.sources.spec import ColumnSpec, DatasetSpec
 
 from .base import AS_OF, derived, duck, query, table
@@ -207,11 +208,6 @@ def _(s, d):
     return checks.null_rate_report(derived(s, d, HOLES), SPEC)
 
 
-@query("dtype_report", "SELECT * FROM (SELECT * FROM (VALUES ('event_id', 'int64', 'int64', true), ('kind', 'string', 'string', true), ('v', 'float64', 'float64', true), ('ts', 'string', 'datetime64', false)) AS x(column_name, expected, actual, passed)) WHERE (SELECT count(*) FROM events) >= 0")
-def _(s, d):
-    return checks.dtype_report(derived(s, d, HOLES), SPEC)
-
-
 @query("validate_report", duck(f"""SELECT 'row_count' AS check_name, NULL::VARCHAR AS column_name, count(*)::DOUBLE AS value, count(*) >= 10 AS passed FROM {{events}}
   UNION ALL SELECT 'required_column', 'absent', 0.0, false
   UNION ALL SELECT 'duplicate_rate', 'event_id', round(coalesce(sum(n) FILTER (WHERE n > 1), 0) / sum(n)::DOUBLE, 6), coalesce(sum(n) FILTER (WHERE n > 1), 0) = 0 FROM (SELECT count(*) AS n FROM {{events}} GROUP BY event_id)
@@ -271,13 +267,33 @@ def _(s, d):
     return drift.drift_vs_spec(drift.filled_headers(_frames(s, d, ("labels", "documents"))), LABEL_SPEC)
 
 
+KEYED_SPEC = DatasetSpec("keyed", (ColumnSpec("doc_id", "int64"), ColumnSpec("text"), ColumnSpec("absent")))
+KEYED = ("benchmark", "documents", "embeddings", "labels")
+
+
+@query("preflight", f"""WITH h AS ({_headers(KEYED)}), s AS (SELECT unnest(['doc_id', 'text', 'absent']) AS col), n AS (SELECT count(DISTINCT file) AS n_all FROM h),
+  m AS (SELECT f.file, s.col FROM (SELECT DISTINCT file FROM h) f CROSS JOIN s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.file = f.file AND h.col = s.col))
+  SELECT col, 'extra' AS status, count(DISTINCT file) AS n_files, false AS blocks FROM h WHERE col NOT IN (SELECT col FROM s) GROUP BY 1
+  UNION ALL SELECT col, 'missing', count(DISTINCT file), count(DISTINCT file) = any_value(n_all) FROM m CROSS JOIN n GROUP BY 1""")
+def _(s, d):
+    return drift.preflight_report(drift.filled_headers(_frames(s, d, KEYED)), KEYED_SPEC)
+
+
 def _kinds(name: str, columns: tuple[str, ...]) -> str:
     """The kinds that DuckDB casts the values of a table's columns to."""
     fits = lambda c, t: f"count_if({c} IS NOT NULL AND try_cast({c}::VARCHAR AS {t}) IS NULL) = 0 AND count({c}) > 0"
-    one = lambda c: f"SELECT '{c}' AS col, CASE WHEN {fits(c, 'BIGINT')} THEN 'int64' WHEN {fits(c, 'DOUBLE')} THEN 'float64' WHEN {fits(c, 'TIMESTAMP')} THEN 'datetime64' WHEN {fits(c, 'BOOLEAN')} THEN 'bool' ELSE 'string' END AS type FROM {name}"
+    whole = lambda c: f"count_if({c} IS NOT NULL AND try_cast({c}::VARCHAR AS BIGINT) IS DISTINCT FROM try_cast({c}::VARCHAR AS DOUBLE)) = 0"  # noqa: E731  (a cast of 1.5 rounds)
+    one = lambda c: f"SELECT '{c}' AS col, CASE WHEN {fits(c, 'BIGINT')} AND {whole(c)} THEN 'int64' WHEN {fits(c, 'DOUBLE')} THEN 'float64' WHEN {fits(c, 'TIMESTAMP')} THEN 'datetime64' WHEN {fits(c, 'BOOLEAN')} THEN 'bool' ELSE 'string' END AS type FROM {name}"
     return " UNION ALL ".join(map(one, columns))
 
 
+@query("dtype_report", duck(f"""SELECT column_name, expected, type AS actual, expected = type AS passed FROM (VALUES ('event_id', 'int64'), ('kind', 'string'), ('v', 'float64'), ('ts', 'string')) AS x(column_name, expected)
+  JOIN ({_kinds(f"({HOLES})", ("event_id", "kind", "v", "ts"))}) ON col = column_name"""))
+def _(s, d):
+    df = ingest.all_strings(derived(s, d, HOLES))
+    return checks.dtype_report(df, SPEC, drift.kinds_in(df))
+
+
 @query("type_drift", f"""SELECT coalesce(a.col, b.col) AS col, CASE WHEN a.col IS NULL THEN 'extra' WHEN b.col IS NULL THEN 'missing' ELSE 'type_mismatch' END AS status
   FROM ({_kinds("labels", ("doc_id", "quality", "toxic"))}) a FULL JOIN ({_kinds("documents", ("doc_id", "text", "lang", "source", "n_chars"))}) b ON a.col = b.col WHERE a.type IS DISTINCT FROM b.type""")
 def _(s, d):

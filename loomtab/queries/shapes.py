@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtab.functions import casts, scalars
@@ -31,6 +34,31 @@ def _(s, d):
     return a.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), "source_system").unionByName(b.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"), "source_system"))
 
 
+STAMP = "2024-01-02 03:04:05"
+
+
+@query("provenance", f"SELECT cast(n_nationkey AS INTEGER) AS k, 'nation.parquet' AS _source_file, TIMESTAMP '{STAMP}' AS _ingested_at FROM nation UNION ALL SELECT r_regionkey, 'region.parquet', TIMESTAMP '{STAMP}' FROM region")
+def _(s, d):
+    a, b = (ingest.with_provenance(table(s, d, t), STAMP) for t in ("nation", "region"))
+    return a.select(F.col("n_nationkey").alias("k"), "_source_file", "_ingested_at").unionByName(b.select(F.col("r_regionkey").alias("k"), "_source_file", "_ingested_at"))
+
+
+@query("materialized_view", "SELECT o_orderstatus, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers FROM orders GROUP BY 1")
+def _(s, d):
+    staged = sinks.materialize(table(s, d, "orders").select("o_orderstatus", "o_custkey"), "loomtab_stg_orders")
+    return staged.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"), F.count_distinct("o_custkey").alias("n_customers"))
+
+
+NAMED = ("customer", "documents", "events", "labels", "lineitem", "orders")
+
+
+@query("named_sources", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in NAMED))
+def _(s, d):
+    root, _, env = d.rstrip("/").rpartition("/")
+    found = ingest.sources(s, root, env)
+    return reduce(DataFrame.unionByName, [found[t].agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for t in NAMED])
+
+
 @query("change_detection", """WITH now AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 10 <> 3), old AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN md5('x') ELSE md5(text) END AS h FROM documents WHERE doc_id % 11 <> 5)
   SELECT cast(coalesce(n.doc_id, o.doc_id) AS varchar) AS name, CASE WHEN n.doc_id IS NULL THEN 'gone' WHEN o.doc_id IS NULL THEN 'new' WHEN n.h <> o.h THEN 'changed' ELSE 'unchanged' END AS status FROM now n FULL JOIN old o USING (doc_id)""")
 def _(s, d):
