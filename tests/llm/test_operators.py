@@ -191,6 +191,33 @@ def test_large_group_without_links(spark, monkeypatch):
     assert 0 < tags.count("round") <= 6
 
 
+def test_a_large_template_group(spark):
+    """20,000 pages that share up to 70 % of their shingles, none linked, and near copies of some: all limits as they are."""
+    rng = np.random.default_rng(3)
+    pages, made = 20_000, 300
+    template = [f"page{i}" for i in range(200)]
+    texts = []
+    for n in range(pages):
+        k = int(200 * rng.uniform(0.55, 0.83))
+        texts.append([*template[:k], *(f"d{n}w{i}" for i in range(200 - k))])
+    copies = []
+    for j in range(made):
+        n = int(rng.integers(0, pages))
+        w = list(texts[n])
+        for _ in range(int(rng.integers(1, 6))):
+            w[int(rng.integers(0, 200))] = f"x{j}y{rng.integers(0, 10**6)}"
+        copies.append((n, w))
+    words = [*texts, *(w for _, w in copies)]
+    df = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(words)], "doc_id long, text string")
+    out = {k: r["component_id"] for k, r in got(neardup.components(df)).items()}
+    sets = {n: {tuple(words[n][i : i + 5]) for i in range(196)} for n in {n for n, _ in copies} | set(range(pages, pages + made))}
+    linked = [(n, pages + j) for j, (n, _) in enumerate(copies) if 100 * len(sets[n] & sets[pages + j]) >= 75 * len(sets[n] | sets[pages + j])]
+    assert len(linked) > made // 2
+    missed = [p for p in linked if out[p[0]] != out[p[1]]]
+    assert not missed
+    assert len(set(out.values())) == pages + made - len(linked)
+
+
 def library(name):
     """The tokenizers library as it is, with a file of its own."""
     from tokenizers import Tokenizer
