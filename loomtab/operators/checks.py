@@ -1,7 +1,7 @@
 """Data-quality checks. Each returns the rows (or groups) that break its rule; a check passes when that is empty.
 
-Where a rule needs a row's neighbour in an order, it takes groups to partition by; without groups the rows are cut into
-ranges of the order and the neighbour across a range's edge comes from a table of one row a range, so no task sees all.
+Where a rule needs a row's neighbour in an order (of the table or of groups), the rows are cut into ranges of group and order, and
+the neighbour across a range's edge comes from a table of one row a range, so no task sees all rows, or all of a group.
 """
 
 from __future__ import annotations
@@ -9,14 +9,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab.functions.scalars import percent
 from loomtab.sources.spec import DatasetSpec
 
 from .tables import column_kind
-from .values import ranges
+from .ranges import neighbour
 
 
 def _col(c: Column | str) -> Column:
@@ -96,25 +95,10 @@ def recency(df: DataFrame, field: str, part: str, interval: int, as_of: str, by:
 # one table, by neighbours
 
 
-def _neighbour(df: DataFrame, column: str, order: str, by: list[str], ahead: bool) -> DataFrame:
-    """df with _near, the column's value in the next (or previous) row, and _edge, whether there is none."""
-    value, sides = F.struct(F.col(column).alias("v")), (F.lead, F.lag)
-    if by:
-        near = sides[not ahead](value).over(W.partitionBy(*by).orderBy(F.asc_nulls_last(order)))
-        return df.withColumn("_n", near).withColumn("_near", F.col("_n.v")).withColumn("_edge", F.col("_n").isNull()).drop("_n")
-    parted = ranges(df.withColumn("_null", F.col(order).isNull()), order).withColumn("_part", F.when(F.col("_null"), F.lit(1 << 30)).otherwise(F.col("_part")))
-    key = F.col(order)
-    ends = parted.groupBy("_part").agg((F.min_by if ahead else F.max_by)(value, key).alias("_end"))
-    across = (F.lead if ahead else F.lag)("_end").over(W.orderBy("_part"))  # one row a range
-    own = sides[not ahead](value).over(W.partitionBy("_part").orderBy(F.asc_nulls_last(order)))
-    out = parted.join(F.broadcast(ends.select("_part", across.alias("_across"))), "_part").withColumn("_n", F.coalesce(own, F.col("_across")))
-    return out.withColumn("_near", F.col("_n.v")).withColumn("_edge", F.col("_n").isNull()).drop("_n", "_across", "_part", "_null")
-
-
 def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, by: list[str] = (), gaps: str = "allowed", zero_length: bool = False) -> DataFrame:
     """Rows whose range is upside down (or NULL), or does not end before the next one starts."""
     compare = {"not_allowed": lambda a, b: a == b, "allowed": lambda a, b: a <= b, "required": lambda a, b: a < b}[gaps]
-    seen = _neighbour(df, lower, lower, list(by), True)
+    seen = neighbour(df, lower, lower, by, ahead=True)
     sound = F.col(lower) <= F.col(upper) if zero_length else F.col(lower) < F.col(upper)
     apart = compare(F.col(upper), F.col("_near"))
     ok = F.coalesce(sound, F.lit(False)) & (F.col("_edge") | F.coalesce(apart, F.lit(False)))
@@ -123,7 +107,7 @@ def mutually_exclusive_ranges(df: DataFrame, lower: str, upper: str, by: list[st
 
 def sequential_values(df: DataFrame, column: str, interval: int = 1, part: str | None = None, by: list[str] = ()) -> DataFrame:
     """Rows that are not `interval` (of a date part, if given) after the row before them."""
-    seen = _neighbour(df, column, column, list(by), False)
+    seen = neighbour(df, column, column, by, ahead=False)
     due = F.timestamp_add(part.upper(), F.lit(interval), F.col("_near")) if part else F.col("_near") + interval
     return seen.where(F.col("_near").isNotNull() & (F.col(column) != due)).select(*df.columns, F.col("_near").alias("previous"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomtab.functions.casts import kind_type, null_strings, try_cast
 from loomtab.sources.spec import DatasetSpec, to_snake_case
 
-from .values import ranges
+from .ranges import cut
 
 
 def resolve(headers: list[str], aliases: dict[str, str]) -> dict[str, str]:
@@ -128,7 +128,7 @@ def add_row_id(df: DataFrame, order: str, column: str = "row_id") -> DataFrame:
 
     Ranges of the order are numbered each on its own; one row for each range says how many come before it.
     """
-    parted = ranges(df, order)
+    parted = cut(df, [order])
     counts = parted.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     own = F.row_number().over(W.partitionBy("_part").orderBy(order))

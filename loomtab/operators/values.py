@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranges import cut
+
 FILLS = ("fill_zero", "fill_unknown", "fill_forward", "fill_backward")
 #: Lookup tables of at most so many bytes are broadcast, or of so many rows where Spark knows no size; larger ones are joined as Spark sees fit.
 BROADCAST_BYTES, BROADCAST_ROWS = 10 << 20, 100_000
@@ -77,21 +79,8 @@ def fill(df: DataFrame, fills: dict[str, str], order: str = "row_id") -> DataFra
     return _carry(out, carried, order) if carried and order in df.columns else out
 
 
-def ranges(df: DataFrame, order: str, part: str = "_part", by: int | None = None) -> DataFrame:
-    """df with the number of its range of `order`: the ranges are about equal, and ascend.
-
-    The cuts are quantiles of a mergeable summary, computed once, so the ranges are the same however often they are read.
-    """
-    n = by or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 100 * n).alias("q")).first()["q"] if n > 1 else []
-    bounds = sorted(set(cuts or []))
-    if not bounds:
-        return df.withColumn(part, F.lit(0))
-    return df.withColumn(part, F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < F.col(order))))
-
-
 def _carry(df: DataFrame, how: dict[str, str], order: str) -> DataFrame:
-    parted = ranges(df, order)
+    parted = cut(df, [order])
     key = F.col(order)
     ends = parted.groupBy("_part").agg(*[(F.max_by if h == "fill_forward" else F.min_by)(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"_end_{c}") for c, h in how.items()])
     before, after = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1), W.orderBy("_part").rowsBetween(1, W.unboundedFollowing)
