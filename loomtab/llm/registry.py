@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, langid, neardup, packing, pii, repeats, rollups, tokenfiles, toxicity
+from . import decontaminate, fingerprints, langid, neardup, packing, pii, prefixtrie, repeats, rollups, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         decontaminate.op7_qgram_decontamination,
         repeats.op9_suffix_bucket_dedup,
         toxicity.op10_toxicity_mil,
+        prefixtrie.op11_prefix_trie,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"ledger_of_words": rollups.WORDS_SQL}
+    return {"ledger_of_words": rollups.WORDS_SQL, "op11_prefix_trie": prefixtrie.OP11_SQL}
