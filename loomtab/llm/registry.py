@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, langid, neardup, packing, pii, prefixtrie, repeats, rollups, tokenfiles, toxicity
+from . import decontaminate, fingerprints, langid, neardup, neighbours, packing, pii, prefixtrie, repeats, rollups, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         repeats.op9_suffix_bucket_dedup,
         toxicity.op10_toxicity_mil,
         prefixtrie.op11_prefix_trie,
+        neighbours.op12_neighbour_quality,
     )
     return {f.__name__: f for f in found}
 
