@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, langid, neardup, neighbours, packing, pii, prefixtrie, repeats, rollups, tokenfiles, toxicity
+from . import decontaminate, fingerprints, hardnegatives, langid, neardup, neighbours, packing, pii, prefixtrie, repeats, rollups, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,9 +24,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         toxicity.op10_toxicity_mil,
         prefixtrie.op11_prefix_trie,
         neighbours.op12_neighbour_quality,
+        hardnegatives.op13_multi_index_negatives,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"ledger_of_words": rollups.WORDS_SQL, "op11_prefix_trie": prefixtrie.OP11_SQL}
+    return {"ledger_of_words": rollups.WORDS_SQL, "op11_prefix_trie": prefixtrie.OP11_SQL, "op13_multi_index_negatives": hardnegatives.OP13_SQL}
