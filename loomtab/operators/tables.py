@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -76,6 +77,36 @@ def split_good_bad(df: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFra
     return judged.where(F.size("_bad_cols") == 0).select(cast), judged.where(F.size("_bad_cols") > 0).drop("_bad_cols")
 
 
+@dataclass(frozen=True)
+class Quarantined:
+    """good: rows cast, in df's columns; bad: the others as they came; counts: rows by "good" and "bad", and failures by column name.
+
+    Both read `path`, where one write has parted them; whoever asked for it removes it.
+    """
+
+    good: DataFrame
+    bad: DataFrame
+    counts: dict[str, int]
+    path: str
+
+
+def quarantine(df: DataFrame, spec: DatasetSpec, path: str) -> Quarantined:
+    """split_good_bad in one job that reads df once and caches nothing: rows are written by verdict and counted on their way."""
+    judged, own = _judged(df, spec)
+    kinds, ok = {c.name: c for c in own}, F.size("_bad_cols") == 0
+    cast = [(try_cast(F.col(n), kinds[n].dtype, list(kinds[n].null_strings)) if n in kinds else F.col(n)).alias(n) for n in df.columns]
+    raw = F.when(~ok, F.struct(*[F.col(c) for c in df.columns]))
+    seen = Observation()
+    failed = [F.count_if(F.array_contains("_bad_cols", c.name)).alias(f"bad_{i}") for i, c in enumerate(own)]
+    watched = judged.observe(seen, F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad"), *failed)
+    told = watched.select(*[F.when(ok, c).alias(n) for n, c in zip(df.columns, cast, strict=True)], raw.alias("_raw"), F.when(ok, "good").otherwise("bad").alias("_verdict"))
+    told.write.partitionBy("_verdict").parquet(path)
+    back = df.sparkSession.read.schema(told.schema).parquet(path)
+    found = seen.get
+    counts = {"good": found["good"], "bad": found["bad"], **{f"column {c.name}": found[f"bad_{i}"] for i, c in enumerate(own)}}
+    return Quarantined(back.where("_verdict = 'good'").select(*df.columns), back.where("_verdict = 'bad'").select("_raw.*"), counts, path)
+
+
 def cast_errors(df: DataFrame, spec: DatasetSpec, samples: int = 5) -> DataFrame:
     """(column_name, n_bad, samples): failures by column in one pass, with the first few values in their order."""
     judged, own = _judged(df, spec)
@@ -91,8 +122,10 @@ def cast_errors(df: DataFrame, spec: DatasetSpec, samples: int = 5) -> DataFrame
 
 
 def combine_by_name(frames: list[DataFrame]) -> DataFrame:
-    """All rows under the columns of all, NULL where a frame lacks one; frames without rows are passed over."""
-    full = [df for df in frames if df.take(1)]
+    """All rows under the columns of all, NULL where a frame lacks one; frames without rows are passed over. For many files see sources.headers."""
+    firsts = [df.limit(1).select(F.lit(i).alias("i")) for i, df in enumerate(frames)]
+    there = {r["i"] for r in reduce(DataFrame.unionByName, firsts).collect()} if firsts else set()  # one job and one row a frame
+    full = [df for i, df in enumerate(frames) if i in there]
     if not full:
         raise ValueError("every table is empty")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), full)

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtab.operators import checks, drift, tables, values
-from loomtab.sources import ingest
+from loomtab.sources import ingest, scratch
 from loomtab.sources.spec import GENERATED, DatasetSpec
 
 STEPS = ("read", "conform", "cast", "map", "combine", "fill", "validate")
@@ -21,16 +20,17 @@ STEPS = ("read", "conform", "cast", "map", "combine", "fill", "validate")
 
 @dataclass(frozen=True)
 class Curated:
-    """clean: the table; rejected: raw rows that could not be cast; report: one row for each check; held: the stacked raw rows that all three read, persisted."""
+    """clean: the table; rejected: raw rows that could not be cast; report: one row for each check; counts: of the casts; held: where rows lie parted by verdict."""
 
     clean: DataFrame
     rejected: DataFrame
     report: DataFrame
-    held: DataFrame
+    counts: dict[str, int]
+    held: str
 
     def release(self) -> None:
-        """Give back what the stacked raw rows hold; the results still work, but read the files anew."""
-        self.held.unpersist()
+        """Remove the parted rows; store what is still needed of the results before."""
+        scratch.remove(self.clean.sparkSession, self.held)
 
     def passed(self) -> bool:
         return not self.report.where("not passed").take(1)
@@ -64,15 +64,14 @@ def run_dataset(spark: SparkSession, spec: DatasetSpec, paths: dict[str, str | l
         renamed = tables.rename_by_alias(df, {**spec.aliases, "_file": "_file", "_at": "_at"})
         full = tables.add_missing(renamed, {c: "string" for c in shaped})
         parts.append(full.select(*shaped, F.lit(n).alias("_source"), "_file", "_at"))
-    stacked = tables.combine_by_name(parts).persist(StorageLevel.MEMORY_AND_DISK)  # both sides of the quarantine read it
-    good, bad = tables.split_good_bad(stacked, spec)
-    mapped = values.apply_value_maps(good, {c: dict(m) for c, m in spec.value_maps.items()})
+    parted = tables.quarantine(tables.combine_by_name(parts), spec, scratch.new_folder(spark, "quarantine"))  # the files are read here, once
+    mapped = values.apply_value_maps(parted.good, {c: dict(m) for c, m in spec.value_maps.items()})
     numbered = _numbered(mapped)
     stamped = numbered.withColumn("_source_file", F.col("_file")).withColumn("_ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
     filled = values.fill(stamped, {c.name: c.fill_strategy for c in spec.columns if c.fill_strategy})
     extra = [c for c in GENERATED if c not in spec.declared]
     clean = filled.select(*spec.declared, *extra)
-    return Curated(clean, bad.select(*spec.declared, "_source", "_file"), checks.validate_dataset(clean, spec), stacked)
+    return Curated(clean, parted.bad.select(*spec.declared, "_source", "_file"), checks.validate_dataset(clean, spec), parted.counts, parted.path)
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -93,4 +92,4 @@ def _source(spark: SparkSession, name: str, paths: str | list[str], fmt: str) ->
     names = [ingest.clean_header(c, i) for i, c in enumerate(raw.columns)]
     text = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw.columns, names, strict=True)]
     at = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
-    return raw.select(*text, F.col("_metadata.file_name").alias("_file"), at.alias("_at"))
+    return raw.select(*text, ingest.file_name().alias("_file"), at.alias("_at"))

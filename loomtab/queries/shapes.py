@@ -62,8 +62,8 @@ def _(s, d):
 @query("change_detection", """WITH now AS (SELECT doc_id, md5(text) AS h FROM documents WHERE doc_id % 10 <> 3), old AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN md5('x') ELSE md5(text) END AS h FROM documents WHERE doc_id % 11 <> 5)
   SELECT cast(coalesce(n.doc_id, o.doc_id) AS varchar) AS name, CASE WHEN n.doc_id IS NULL THEN 'gone' WHEN o.doc_id IS NULL THEN 'new' WHEN n.h <> o.h THEN 'changed' ELSE 'unchanged' END AS status FROM now n FULL JOIN old o USING (doc_id)""")
 def _(s, d):
-    docs = table(s, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("name"), F.md5(F.col("text").cast("binary")).alias("md5"))
-    old = docs.where("doc_id % 11 <> 5").withColumn("md5", F.when(F.col("doc_id") % 7 == 0, F.md5(F.lit("x").cast("binary"))).otherwise(F.col("md5")))
+    docs = table(s, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("name"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    old = docs.where("doc_id % 11 <> 5").withColumn("digest", F.when(F.col("doc_id") % 7 == 0, F.md5(F.lit("x").cast("binary"))).otherwise(F.col("digest")))
     return incremental.detect_changes(docs.where("doc_id % 10 <> 3"), old)
 
 

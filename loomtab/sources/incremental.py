@@ -5,37 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STATE = "name string, md5 string, size long, first_seen string, last_processed string"
+from .digests import hash_files  # noqa: F401
 
-
-def hash_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(name, md5, size) of the files of a folder, hashed on the executors."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.md5("content").alias("md5"), F.col("length").alias("size"))
+#: What is kept of each file.
+STATE = "name string, digest string, size long, first_seen string, last_processed string"
 
 
 def detect_changes(now: DataFrame, state: DataFrame, outputs: DataFrame | None = None, force: bool = False) -> DataFrame:
     """(name, status) with status new, changed, unchanged or gone.
 
-    now: (name, md5, ..), state: (name, md5, ..), outputs: (name). A file whose output is missing is changed even if its
+    now: (name, digest, ..), state: (name, digest, ..), outputs: (name). A file whose output is missing is changed even if its
     hash is not; force makes all present files changed.
     """
-    old = state.select("name", F.col("md5").alias("_old"))
-    both = now.select("name", "md5").join(old, "name", "full")
+    old = state.select("name", F.col("digest").alias("_old"))
+    both = now.select("name", "digest").join(old, "name", "full")
     if outputs is not None:
         both = both.join(outputs.select("name", F.lit(True).alias("_out")).distinct(), "name", "left")
     else:
         both = both.withColumn("_out", F.lit(True))
-    again = F.lit(force) | (F.col("md5") != F.col("_old")) | F.col("_out").isNull()
-    status = F.when(F.col("md5").isNull(), "gone").when(F.col("_old").isNull(), "new").when(again, "changed").otherwise("unchanged")
+    again = F.lit(force) | (F.col("digest") != F.col("_old")) | F.col("_out").isNull()
+    status = F.when(F.col("digest").isNull(), "gone").when(F.col("_old").isNull(), "new").when(again, "changed").otherwise("unchanged")
     return both.select("name", status.alias("status"))
 
 
 def next_state(now: DataFrame, state: DataFrame, at: str) -> DataFrame:
     """The state after a run at `at`: first_seen is kept, vanished files are forgotten."""
-    old = state.select("name", F.col("first_seen").alias("_first"), F.col("md5").alias("_md5"), F.col("last_processed").alias("_last"))
-    done = F.when(F.col("md5") == F.col("_md5"), F.col("_last")).otherwise(F.lit(at))
-    return now.join(old, "name", "left").select("name", "md5", "size", F.coalesce("_first", F.lit(at)).alias("first_seen"), done.alias("last_processed"))
+    old = state.select("name", F.col("first_seen").alias("_first"), F.col("digest").alias("_digest"), F.col("last_processed").alias("_last"))
+    done = F.when(F.col("digest") == F.col("_digest"), F.col("_last")).otherwise(F.lit(at))
+    return now.join(old, "name", "left").select("name", "digest", "size", F.coalesce("_first", F.lit(at)).alias("first_seen"), done.alias("last_processed"))
 
 
 def orphans(outputs: DataFrame, inputs: DataFrame, key: str) -> DataFrame:

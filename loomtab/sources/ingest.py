@@ -44,8 +44,13 @@ def _is_clean(name: str) -> bool:
     return name.endswith(".parquet") and not name.endswith("_errors.parquet") and not name.startswith(("tmp", ".", "_"))
 
 
+def file_name() -> F.Column:
+    """The name of each row's file as it is; Spark's metadata have it as part of a URI."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def file_stem() -> F.Column:
-    return F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]+$", "")
+    return F.regexp_replace(file_name(), r"\.[^.]+$", "")
 
 
 def with_source_system(df: DataFrame, declared: list[str] | None = None) -> DataFrame:
@@ -55,7 +60,7 @@ def with_source_system(df: DataFrame, declared: list[str] | None = None) -> Data
 
 def with_provenance(df: DataFrame, ingested_at: str) -> DataFrame:
     """_source_file and _ingested_at; the time is an argument, so that a rerun gives the same rows."""
-    return df.withColumn("_source_file", F.col("_metadata.file_name")).withColumn("_ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
+    return df.withColumn("_source_file", file_name()).withColumn("_ingested_at", F.lit(ingested_at).cast("timestamp_ntz"))
 
 
 def sources(spark: SparkSession, root: str, env: str) -> dict[str, DataFrame]:

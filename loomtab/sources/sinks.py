@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import scratch, snapshots
+
 
 def overwrite_atomic(df: DataFrame, path: str) -> DataFrame:
     """Replace the Parquet table at path, which df may itself read: write beside it, then change names.
@@ -33,8 +35,35 @@ def overwrite_atomic(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_table(df: DataFrame, name: str) -> None:
-    """Create or replace one table of the warehouse, also with no rows; others stay."""
-    df.write.mode("overwrite").saveAsTable(name)
+    """Create or replace one table of the warehouse, also with no rows; others stay.
+
+    The rows are written to a new folder. A table of this function's making whose columns stay the same is then set to that folder, which is one
+    change in the catalog: readers see the old rows or the new ones, never none. Else the table is made anew in the catalog.
+    """
+    spark = df.sparkSession
+    base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_exports/{name}"
+    folder = f"{base}/{snapshots.new_version(base)}"
+    df.write.parquet(folder)
+    old = _location(spark, name)
+    if old and f"/_exports/{name}/" in old and spark.table(name).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, folder, "parquet", df.schema)
+    kept = {folder, (old or "").rstrip("/")}
+    fs, at = scratch.hadoop(spark, base)
+    for x in fs.listStatus(at):  # the last rows before these stay, for readers that have begun with them
+        if x.getPath().getName() not in {k.rpartition("/")[2] for k in kept}:
+            fs.delete(x.getPath(), True)
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where the catalog has a table; None if it has none of that name."""
+    if not spark.catalog.tableExists(name):
+        return None
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    return told.get("Location")
 
 
 def materialize(df: DataFrame, name: str, as_: str = "view") -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtab.sources.ingest import file_name
+
 
 def take_new(spark: SparkSession, folder: str, columns: list[str], sink: Callable[[DataFrame, int], None], checkpoint: str, fmt: str = "csv", files_a_batch: int = 1000) -> None:
     """Hand the rows of new files to sink(batch, number), all columns as text, with the file's name in _source_file.
@@ -21,7 +23,7 @@ def take_new(spark: SparkSession, folder: str, columns: list[str], sink: Callabl
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_a_batch)
     rows = (reader.option("header", True) if fmt == "csv" else reader).load(folder)
-    named = rows.withColumn("_source_file", F.col("_metadata.file_name"))
+    named = rows.withColumn("_source_file", file_name())
     named.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 

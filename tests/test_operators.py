@@ -216,8 +216,11 @@ def test_curate(spark, tmp_path):
     got = [tuple(r) for r in out.clean.orderBy("row_id").select("row_id", "id", "name", "value", "_source_file").collect()]
     assert got == [(1, 1, "Alpha", 1.5, "one.csv"), (2, 3, "c", 0.0, "one.csv"), (3, 4, "Unknown", 8.0, "two.csv")]
     assert [r["id"] for r in out.rejected.collect()] == ["x"] and out.passed()
+    assert out.counts == {"good": 3, "bad": 1, "column id": 1, "column value": 0} or out.counts == {"good": 3, "bad": 1, "column id": 1, "column name": 0, "column value": 0}
     out.release()
-    assert not out.held.is_cached and out.clean.count() == 3
+    import os
+
+    assert not os.path.exists(out.held)
     with pytest.raises(ValueError):
         curate.run_dataset(spark, DatasetSpec("m", (ColumnSpec("gone"),)), {"one": str(tmp_path / "one.csv")}, preflight=True)
 
