@@ -34,24 +34,24 @@ def overwrite_atomic(df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def export_table(df: DataFrame, name: str) -> None:
-    """Create or replace one table of the warehouse, also with no rows; others stay.
+def export_table(df: DataFrame, name: str, folder: str | None = None) -> None:
+    """Create or replace one table of the warehouse, also with no rows; others stay. Rows lie below folder, the warehouse's own if None.
 
     The rows are written to a new folder. A table of this function's making whose columns stay the same is then set to that folder, which is one
     change in the catalog: readers see the old rows or the new ones, never none. Else the table is made anew in the catalog.
     """
     spark = df.sparkSession
-    base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_exports/{name}"
-    folder = f"{base}/{snapshots.new_version(base)}"
-    df.write.parquet(folder)
+    base = f"{(folder or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/_exports/{name}"
+    to = f"{base}/{snapshots.new_version(base)}"
+    df.write.parquet(to)
     old = _location(spark, name)
     if old and f"/_exports/{name}/" in old and spark.table(name).schema.simpleString() == df.schema.simpleString():
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{to}'")
         spark.catalog.refreshTable(name)
     else:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, folder, "parquet", df.schema)
-    kept = {folder, (old or "").rstrip("/")}
+        spark.catalog.createTable(name, to, "parquet", df.schema)
+    kept = {to, (old or "").rstrip("/")}
     fs, at = scratch.hadoop(spark, base)
     for x in fs.listStatus(at):  # the last rows before these stay, for readers that have begun with them
         if x.getPath().getName() not in {k.rpartition("/")[2] for k in kept}:
