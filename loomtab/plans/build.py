@@ -7,30 +7,40 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from loomtab.sources import scratch
 from loomtab.sources.sinks import export_table
 
 from . import marts
 
 
 class Built(dict[str, DataFrame]):
-    """Marts by name, and the tables they share."""
+    """Marts by name, and the tables they share, persisted or stored in a folder."""
 
     shared: tuple[DataFrame, ...] = ()
+    folder: str | None = None
 
     def release(self) -> None:
-        """Give back what the shared tables hold; the marts still work, but compute it anew."""
+        """Give back what the shared tables hold. Where they were persisted the marts still work, but compute it anew; stored ones are removed."""
         for df in self.shared:
             df.unpersist()
+        if self.folder:
+            scratch.remove(self.shared[0].sparkSession, self.folder)
 
 
-def build_marts(tasks: DataFrame, workers: DataFrame, employees: DataFrame, people: DataFrame, as_of: str) -> Built:
-    """Every fact, mart and report of staged tables, by name; nothing runs until one is used.
+def build_marts(tasks: DataFrame, workers: DataFrame, employees: DataFrame, people: DataFrame, as_of: str, folder: str | None = None) -> Built:
+    """Every fact, mart and report of staged tables, by name.
 
-    All share the staged tasks, and those with workers or employees share the one join of them: both are persisted, and
-    the first mart that runs fills the cache. `release` gives it back.
+    All share the staged tasks, and those with workers or employees share the one join of them. With a folder both are
+    written there at once as Parquet, so a mart reads only the columns that it uses, and the join
+    is made once whatever is lost. Without one nothing runs until a mart is used: both are persisted, and the first mart
+    fills the cache.
     """
-    shared = tasks.persist(StorageLevel.MEMORY_AND_DISK)
-    joined = marts.tasks_joined(shared, workers, employees).persist(StorageLevel.MEMORY_AND_DISK)
+    if folder:
+        shared = scratch.stored(tasks, f"{folder}/tasks")
+        joined = scratch.stored(marts.tasks_joined(shared, workers, employees), f"{folder}/joined")
+    else:
+        shared = tasks.persist(StorageLevel.MEMORY_AND_DISK)
+        joined = marts.tasks_joined(shared, workers, employees).persist(StorageLevel.MEMORY_AND_DISK)
     built = Built({
         "fact_task_completed": marts.fact_task_completed(shared), "fact_task_current": marts.fact_task_current(shared, as_of), "fact_task_event": marts.fact_task_event(shared),
         "fact_task_rework": marts.fact_task_rework(shared), "tasks_enriched": marts.enriched_of(joined), "mart_team_capacity": marts.mart_team_capacity(workers),
@@ -40,7 +50,7 @@ def build_marts(tasks: DataFrame, workers: DataFrame, employees: DataFrame, peop
         "report_carrier_workload": marts.report_carrier_workload(shared), "report_team_workload": marts.team_workload(shared, people), "report_department": marts.department_performance(shared, people),
         "report_tasks_overview": marts.tasks_overview(shared),
     })
-    built.shared = (joined, shared)
+    built.shared, built.folder = (joined, shared), folder
     return built
 
 

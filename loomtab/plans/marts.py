@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab.functions.scalars import avg_hours, collapse_spaces, date_diff, hours_of, mean, missing_to_null, percent, trim_lower, upper_domain
+from loomtab.operators.ranks import exact_percentile
 from loomtab.operators.tables import latest
 from loomtab.operators.values import lookup_normalize
 
@@ -244,7 +245,10 @@ def department_performance(tasks: DataFrame, employees: DataFrame) -> DataFrame:
     """Volume, mean and exact median of durations by division and team."""
     joined = join_people(tasks, employees, "assignedto", {"team": "team", "division": "division"}).where("division is not null")
     m = _minutes()
-    return joined.groupBy("division", "team").agg(F.count(F.lit(1)).alias("total_tasks"), _n(DONE).alias("completed"), avg_hours(m).alias("avg_hours"), F.round(F.percentile(hours_of(m), 0.5), 2).alias("median_hours")).orderBy(F.desc("total_tasks"), "division", "team")
+    volume = joined.groupBy("division", "team").agg(F.count(F.lit(1)).alias("total_tasks"), _n(DONE).alias("completed"), avg_hours(m).alias("avg_hours"))
+    medians = exact_percentile(joined.select("division", "team", hours_of(m).alias("_hours")), ["division", "team"], "_hours", 0.5, "_median").select(F.col("division").alias("_division"), F.col("team").alias("_team"), "_median")
+    both = volume.join(medians, F.col("division").eqNullSafe(F.col("_division")) & F.col("team").eqNullSafe(F.col("_team")), "left")
+    return both.select(*volume.columns, F.round("_median", 2).alias("median_hours")).orderBy(F.desc("total_tasks"), "division", "team")
 
 
 def tasks_overview(tasks: DataFrame) -> DataFrame:

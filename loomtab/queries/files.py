@@ -13,6 +13,7 @@ from loomtab.sources import headers, ingest, scratch, sinks, snapshots
 from loomtab.sources.spec import ColumnSpec, DatasetSpec
 
 from .base import derived, duck, query, table
+from . import workflow  # noqa: F401  its SQL is used below
 from .shapes import ANY_BAD, AS_BOOL, AS_FLOAT, AS_TIME, DIRTY, IS_BAD, SPEC
 
 
@@ -203,3 +204,16 @@ def _(s, d):
         fs, at = scratch.hadoop(s, f"{folder}/_{n}/part-*.parquet")
         fs.rename(fs.globStatus(at)[0].getPath(), path(f"{folder}/{n}.parquet"))
     return ingest.clean_files(s, folder)
+
+
+def _stored_mart(name: str, of: str) -> None:
+    from .base import AS_OF, ORACLES, master, people, tasks, workers
+
+    @query(name, ORACLES[of])
+    def _(s, d):
+        made = build.build_marts(tasks(s, d), workers(s, d), master(s, d), people(s, d), AS_OF, scratch.new_folder(s, "marts"))
+        return made[of]
+
+
+for _name, _of in (("stored_join_demand", "mart_team_demand"), ("stored_join_onshore", "mart_onshore_offshore"), ("stored_tasks_turnaround", "mart_turnaround")):
+    _stored_mart(_name, _of)

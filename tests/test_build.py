@@ -29,6 +29,19 @@ def test_marts_share_the_staged_tasks(spark):
     assert not any(df.is_cached for df in made.shared)
 
 
+def test_marts_of_a_stored_join(spark, tmp_path):
+    """Every mart is the same, read from the stored tasks or the stored join; no other join of tasks is left in those three."""
+    tables = base.tasks(spark, DIR), base.workers(spark, DIR), base.master(spark, DIR), base.people(spark, DIR), base.AS_OF
+    kept, plain = build.build_marts(*tables, folder=str(tmp_path / "shared")), build.build_marts(*tables)
+    for n, df in plain.items():
+        assert sorted(map(str, kept[n].collect())) == sorted(map(str, df.collect())), n
+    for n in ("tasks_enriched", "mart_team_demand", "mart_onshore_offshore"):
+        assert "Join" not in kept[n]._jdf.queryExecution().optimizedPlan().toString()
+    plain.release()
+    kept.release()
+    assert not (tmp_path / "shared").exists()
+
+
 def test_warehouse(spark, tmp_path):
     a, b = f"t_{uuid.uuid4().hex[:6]}", f"t_{uuid.uuid4().hex[:6]}"
     spark.range(3).write.parquet(str(tmp_path / "a"))
