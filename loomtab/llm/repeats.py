@@ -41,17 +41,33 @@ GRAM = 20
 FIRST = 25
 #: Values that stand for the bytes in a window's second hash.
 SECOND = textops.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(textops.STEP))
+#: Windows of a text that are looked at together.
+SEGMENT = 4 << 20
+#: Places of one gram that are closer than this have one stretch.
+TOGETHER = 40
+#: Bytes of the stretches of one Arrow batch, about.
+BATCH_BYTES = 8 << 20
 #: Anchors of one hash beyond which it is dealt to several tasks first, so many to each.
 HOT = 5_000
 #: Hot hashes, of 12 bytes each, that are sent to all tasks at most.
 HOT_ROWS = 500_000
 
 
-def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a text of at least WINDOW bytes: the anchors' hashes, and the first and last window start of each.
+def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a text of at least WINDOW bytes: the anchors' hashes, the first and last window start of each, and whether its windows may repeat among themselves.
 
-    The window from o on has as anchor the leftmost least hash among the grams at o .. o + WINDOW - GRAM.
+    A window's anchor depends on its own bytes, so long texts are taken in segments, which bounds what the arrays take.
     """
+    windows = len(data) - WINDOW + 1
+    parts = []
+    for a in range(0, windows, SEGMENT):
+        h, first, last, several = _segment(data[a : min(a + SEGMENT, windows) + WINDOW - 1])
+        parts.append((h, first + a, last + a, several))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if len(parts) > 1 else parts[0]
+
+
+def _segment(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The window from o on has as anchor the leftmost least hash among the grams at o .. o + WINDOW - GRAM."""
     h = textops.window_hashes(data, GRAM)
     reach = WINDOW - GRAM + 1
     n = len(h) - reach + 1
@@ -63,29 +79,36 @@ def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate(([True], best[1:] != best[:-1])))
     at = first + h[first[:, None] + np.arange(reach)].argmin(1)
     last = np.append(first[1:] - 1, n - 1)
-    if (at < last).any():  # equal grams: the least stays while its place moves on
-        at, first, last = _with_equals(h, best, first, last)
-    return h[at], first, last
+    more = at < last  # equal grams: the least stays while its place moves on
+    if not more.any():
+        return h[at], first, last, more
+    starts, ends, several = _with_equals(h, best, first[more], last[more])
+    first, last, several = np.concatenate((first[~more], starts)), np.concatenate((last[~more], ends)), np.concatenate((np.zeros(int((~more).sum()), bool), several))
+    order = np.argsort(first)
+    return best[first[order]], first[order], last[order], several[order]
 
 
 def _with_equals(h: np.ndarray, best: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The anchors' places where a stretch of windows has its least gram more than once: the leftmost at or after each window's start."""
-    places: list[int] = []
+    """Where stretches of windows start and end whose least gram occurs more than once: at its places, of which those closer than TOGETHER share one;
+    and which of them have several.
+
+    A run of one character has a place at every byte; so it takes a stretch for every TOGETHER windows, not for each.
+    """
     starts: list[int] = []
     ends: list[int] = []
+    several: list[bool] = []
     reach = WINDOW - GRAM + 1
     for a, b in zip(first.tolist(), last.tolist(), strict=True):
         same = a + np.flatnonzero(h[a : b + reach] == best[a])
         o = a
-        for p in same.tolist():
-            if o > b:
-                break
-            if p >= o:
-                places.append(p)
-                starts.append(o)
-                ends.append(min(p, b))
-                o = ends[-1] + 1
-    return np.array(places, np.int64), np.array(starts, np.int64), np.array(ends, np.int64)
+        while o <= b:
+            i, j = np.searchsorted(same, (o, o + TOGETHER), ("left"))
+            p = int(same[max(i, j - 1)])
+            several.append(j - 1 > i)
+            starts.append(o)
+            ends.append(min(p, b))
+            o = ends[-1] + 1
+    return np.array(starts, np.int64), np.array(ends, np.int64), np.array(several, bool)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -94,38 +117,38 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, counts, hashes, number = batch.column(0), [], [], []
+        keys, counts, hashes, number, weight = batch.column(0), [], [], [], []
         for b in batch.column(1).to_pylist():
             if len(b) < WINDOW:
                 counts.append(0)
                 continue
-            h, _, _ = _anchors(np.frombuffer(b, np.uint8))
+            h, _, _, several = _anchors(np.frombuffer(b, np.uint8))
             counts.append(len(h))
+            weight.append(1 + several.astype(np.int32))
             hashes.append(h.view(np.int64))
             number.append(np.arange(len(h), dtype=np.int32))
         row = np.repeat(np.arange(batch.num_rows), counts)
-        yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), pa.array(np.concatenate(hashes) if hashes else np.empty(0, np.int64)), pa.array(np.concatenate(number) if number else np.empty(0, np.int32))], ["rank", "hash", "number"])
+        yield pa.RecordBatch.from_arrays([keys.take(pa.array(row)), pa.array(np.concatenate(hashes) if hashes else np.empty(0, np.int64)), *[pa.array(np.concatenate(x) if x else np.empty(0, np.int32), pa.int32()) for x in (number, weight)]], ["rank", "hash", "number", "weight"])
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rank, bytes, anchors: number and deal of each) to one row for each anchor: where its windows start, and their bytes."""
-    names = ["hash", "deal", "rank", "start", "bytes"]
+    """(rank, bytes, anchors: number and deal of each) to one row for each anchor: where its windows start, and their bytes.
+
+    The anchors of one document under one hash spread over its deals too.
+    """
     for batch in batches:
         lists = batch.column(2)
         numbers, deals_of = (lists.flatten().field(i).to_numpy() for i in (0, 1))
         ends = np.cumsum(lists.value_lengths().to_numpy())
-        hashes, deal, starts, cut = [], [], [], []
-        mixed = (textops.mix(batch.column(0).to_numpy().astype(np.uint64)) >> np.uint64(33)).astype(np.int32)
-        for spread, b, i, j in zip(mixed.tolist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
-            h, first, last = _anchors(np.frombuffer(b, np.uint8))
+        for rank, b, i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+            h, first, last, several = _anchors(np.frombuffer(b, np.uint8))
             which, deals = numbers[i:j], deals_of[i:j]
-            hashes.append(h[which])
-            deal.append(np.where(deals > 1, spread % deals, -1))
-            starts.append(first[which])
-            cut += [b[x : y + WINDOW] for x, y in zip(first[which].tolist(), last[which].tolist(), strict=True)]
-        if cut:
-            rank = np.repeat(batch.column(0).to_numpy(), np.diff(ends, prepend=0))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(deal).astype(np.int64)), pa.array(rank), pa.array(np.concatenate(starts)), pa.array(cut, pa.binary())], names)
+            spread = (textops.mix(np.uint64(rank % 2**64) + which.astype(np.uint64) * np.uint64(textops.STEP)) >> np.uint64(33)).astype(np.int64)
+            deal, size = np.where(deals > 1, spread % deals, -1), np.cumsum(last[which] - first[which] + WINDOW)
+            for m in np.split(np.arange(len(which)), np.searchsorted(size, np.arange(BATCH_BYTES, int(size[-1]) if len(size) else 0, BATCH_BYTES))):
+                w = which[m]
+                cut = [b[x : y + WINDOW] for x, y in zip(first[w].tolist(), last[w].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(h[w].view(np.int64)), pa.array(deal[m].astype(np.int64)), pa.array(np.full(len(w), rank)), pa.array(first[w]), pa.array(cut, pa.binary()), pa.array(several[w])], ["hash", "deal", "rank", "start", "bytes", "several"])
 
 
 def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: int = FIRST) -> np.ndarray:
@@ -161,11 +184,11 @@ def refine(data: np.ndarray, starts: np.ndarray, window: int = WINDOW, first: in
 
 
 def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows (hash, rank, start, bytes): repeated bytes as (rank, first byte, end byte); rows of which each window is the
+    """Of rows (hash, rank, start, bytes, several): repeated bytes as (rank, first byte, end byte); rows of which each window is the
     earliest, and the earliest windows of other rows as (row, place in it).
 
     Of equal stretches only the earliest can hold an earliest window: the others are repeats from end to end. The
-    earliest ones of a bucket are told apart window by window, if there are several.
+    earliest ones of a bucket are told apart window by window, if there are several, or if the windows of one may repeat among themselves.
     """
     rank, start, keys = (table.column(c).to_numpy() for c in ("rank", "start", "hash"))
     pieces = table.column("bytes").to_pylist()
@@ -180,7 +203,8 @@ def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     copy = np.flatnonzero(copy)
     spans = [(rank[copy], start[copy], start[copy] + size[copy])]
     _, bucket, members = np.unique(keys[lead], return_inverse=True, return_counts=True)
-    several = lead[members[bucket] > 1]
+    apart = (members[bucket] > 1) | table.column("several").to_numpy()[lead]
+    several = lead[apart]
     early = (np.empty(0, np.int64), np.empty(0, np.int64))
     if len(several):
         data = np.frombuffer(b"".join([pieces[i] for i in several.tolist()]), np.uint8)
@@ -197,7 +221,7 @@ def _judge(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
         spans.append(_runs_of(of[repeat], place[repeat]))
         early = several[row[~repeat]], within[~repeat]
     r, a, b = (np.concatenate(x) for x in zip(*spans, strict=True))
-    return r, a, b, lead[members[bucket] == 1], *early
+    return r, a, b, lead[~apart], *early
 
 
 def _windows(table: pa.Table, whole: np.ndarray, row: np.ndarray, within: np.ndarray) -> pa.RecordBatch:
@@ -235,12 +259,12 @@ SORT_BYTES = 3 << 20
 def _chunks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
     """Rows sorted by the keys, in tables of whole buckets of about SORT_BYTES."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, most = 0, SORT_BYTES
     for batch in batches:
         if batch.num_rows:
             held.append(batch)
             size += batch.nbytes
-        if size > SORT_BYTES:
+        if size > most:
             t = pa.Table.from_batches(held).combine_chunks()
             changed = np.zeros(t.num_rows, bool)
             for k in keys:
@@ -250,7 +274,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
             if cut:
                 yield t.slice(0, cut)
                 held = t.slice(cut).to_batches()
-                size = sum(b.nbytes for b in held)
+                size, most = sum(b.nbytes for b in held), SORT_BYTES
+            else:
+                held, most = t.to_batches(), 2 * size  # one bucket so far: it is looked at again when it has doubled
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -259,9 +285,17 @@ SPANS = "rank long, spans array<struct<a: long, b: long>>"
 
 
 def _listed(rank: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """The spans as one list for each rank."""
+    """The spans as one list for each rank; those that overlap or touch are one."""
     order = np.lexsort((a, rank))
     rank, a, b = rank[order], a[order], b[order]
+    if len(rank):
+        fresh = np.concatenate(([True], rank[1:] != rank[:-1]))
+        group = np.cumsum(fresh) - 1
+        room = int(b.max()) + 1
+        upto = np.maximum.accumulate(b + group * room) - group * room  # the farthest end so far in the same text
+        new = fresh | np.concatenate(([True], a[1:] > upto[:-1]))
+        i = np.flatnonzero(new)
+        rank, a, b = rank[i], a[i], upto[np.append(i[1:] - 1, len(new) - 1)]
     first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.empty(0, np.int64)
     pairs = pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return pa.array(rank[first], pa.int64()), pa.ListArray.from_arrays(pa.array(np.append(first, len(rank)).astype(np.int32)), pairs)
@@ -329,8 +363,10 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         rows = []
-        for doc_id, b, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            rest, removed, runs = _cut(b, [(s["a"], s["b"]) for s in spans or []])
+        lists = batch.column(2)
+        pairs, ends = [lists.flatten().field(i).to_numpy() for i in (0, 1)], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+        for doc_id, b, i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True):
+            rest, removed, runs = _cut(b, list(zip(*(x[i:j].tolist() for x in pairs), strict=True)))
             rows.append((doc_id, len(b), removed, runs, hashlib.sha256(rest).hexdigest()))
         cols = list(zip(*rows, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 4 else pa.int64()) for i, c in enumerate(cols)], names)
@@ -362,15 +398,15 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     firsts = digests.groupBy("digest").agg(F.min("rank").alias("rank"), F.count("*").alias("n")).where("n > 1")
     copies = common.stored(digests.join(firsts.withColumnRenamed("rank", "least"), "digest").where("rank <> least").select("rank"), "copies")
     first_texts = long.join(F.broadcast(copies) if copies.count() * 8 <= 8 << 20 else copies, "rank", "left_anti").select("rank", "bytes")
-    anchors = common.stored(first_texts.mapInArrow(_emit_anchors, "rank long, hash long, number int"), "anchors")
-    counted = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").withColumn("deals", F.ceil(F.col("n") / HOT).cast("int")).select("hash", "deals")
+    anchors = common.stored(first_texts.mapInArrow(_emit_anchors, "rank long, hash long, number int, weight int"), "anchors")
+    counted = anchors.groupBy("hash").agg(F.sum("weight").alias("n")).where("n > 1").withColumn("deals", F.ceil(F.col("n") / HOT).cast("int")).select("hash", "deals")
     flagged = _with_deals(anchors, counted).groupBy("rank").agg(F.collect_list(F.struct("number", "deals")).alias("anchors"))  # at most one for every few bytes of the text itself
     flagged = common.stored(flagged, "flagged")
     common.drop(anchors)
-    sent = first_texts.join(flagged, "rank").mapInArrow(_stretches, "hash long, deal long, rank long, start long, bytes binary")
+    sent = first_texts.join(flagged, "rank").mapInArrow(_stretches, "hash long, deal long, rank long, start long, bytes binary, several boolean")
     sent = common.stored(sent, "stretches")
     common.drop(flagged)
-    cold, hot = sent.where("deal < 0").select("hash", "rank", "start", "bytes"), sent.where("deal >= 0")
+    cold, hot = sent.where("deal < 0").select("hash", "rank", "start", "bytes", "several"), sent.where("deal >= 0")
     order = lambda df, *k: df.repartition(width, *k).sortWithinPartitions(*k)
     if hot.take(1):
         thin = common.stored(order(hot, "hash", "deal").mapInArrow(_thin, f"rank long, start long, w long, v long, {SPANS.partition(', ')[2]}"), "thin")

@@ -192,7 +192,7 @@ def test_anchors_depend_on_the_window_alone():
         b = [bytes(random.choices(b"abcdefgh ", k=300)), b"a" * 250, b"abc" * 60 + bytes(random.choices(b"xyz", k=90)), bytes(random.choices(b"ab", k=7)) * 40][k % 4]
         h = textops.window_hashes(np.frombuffer(b, np.uint8), repeats.GRAM).tolist()
         want = [o + h[o : o + reach].index(min(h[o : o + reach])) for o in range(len(b) - repeats.WINDOW + 1)]
-        hashes, first, last = repeats._anchors(np.frombuffer(b, np.uint8))
+        hashes, first, last, _ = repeats._anchors(np.frombuffer(b, np.uint8))
         got = [x for x, i, j in zip(hashes.tolist(), first, last, strict=True) for _ in range(j - i + 1)]
         assert got == [h[p] for p in want]
 
