@@ -99,6 +99,29 @@ class EliasFano:
         place = byte * 8 + (word & -word).bit_length() - 1
         return ((place - i) << self.low) | _one(self.lows, self.low, i)
 
+    def block(self, i: int, j: int) -> np.ndarray:
+        """The values from the i-th up to the j-th, which is not included: select for a stretch, from the bits between two samples."""
+        if not 0 <= i <= j <= self.n:
+            raise IndexError((i, j))
+        if i == j:
+            return np.empty(0, np.int64)
+        at = _one(self.samples, self.sample_bits, i // SAMPLE)
+        last = (j - 1) // SAMPLE + 1
+        end = _one(self.samples, self.sample_bits, last) if last * SAMPLE < self.n else self.high_bits
+        byte = at // 8
+        bits = np.unpackbits(np.frombuffer(self.high, np.uint8, -(-end // 8) - byte, byte), bitorder="little", count=end - byte * 8)
+        bits[: at - byte * 8] = 0
+        ones = np.flatnonzero(bits)[i % SAMPLE : i % SAMPLE + j - i] + byte * 8
+        return ((ones - np.arange(i, j)) << self.low) | self._lows(i, j)
+
+    def _lows(self, i: int, j: int) -> np.ndarray:
+        if not self.low:
+            return np.zeros(j - i, np.int64)
+        a = i * self.low // 8
+        flat = np.unpackbits(np.frombuffer(self.lows, np.uint8, -(-j * self.low // 8) - a, a), bitorder="little")
+        flat = flat[i * self.low - a * 8 : j * self.low - a * 8].reshape(j - i, self.low)
+        return (flat.astype(np.int64) << np.arange(self.low)).sum(1)
+
     def decode(self) -> np.ndarray:
         """All values."""
         if not self.n:

@@ -34,8 +34,8 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 MAGIC = b"IDSHARD1"
 FOOTER = struct.Struct("<BqQQQQ8s")  # id width, first doc_id, rows without doc_id, start of the boundaries, of the doc_ids, of the footer
-#: Ids that a reader holds at once, unless one document has more.
-READ_IDS = 1 << 20
+#: Ids that a reader holds at once, unless one document has more; documents whose places it selects at once.
+READ_IDS, READ_DOCS = 1 << 20, 4096
 #: Documents and ids of a shard at most.
 SHARD_DOCS, SHARD_IDS = 2_000_000, 1 << 30
 
@@ -157,6 +157,15 @@ class Shard:
     def span(self, i: int) -> tuple[int, int]:
         return self.ends.select(i), self.ends.select(i + 1)
 
+    def bounds(self, i: int, j: int) -> np.ndarray:
+        """Where the documents from the i-th to before the j-th start, and where the last of them ends: by select, for these alone."""
+        return self.ends.block(i, j + 1)
+
+    def names(self, i: int, j: int) -> list[int | None]:
+        """The doc_ids of these documents."""
+        a, b = max(i, self.bare), max(j, self.bare)
+        return [None] * (min(j, self.bare) - min(i, self.bare)) + (self.first + self.doc_ids.block(a - self.bare, b - self.bare)).tolist()
+
     def ids(self, start: int, end: int) -> np.ndarray:
         raw = self.file.read_at((end - start) * self.width, len(MAGIC) + start * self.width)
         return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
@@ -176,14 +185,15 @@ def read(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 shard = Shard(row["folder"], row["file"])
-                ends, ids = shard.ends.decode(), [None] * shard.bare + (shard.doc_ids.decode() + shard.first).tolist()
                 i = 0
                 while i < shard.documents:
-                    j = max(i + 1, int(np.searchsorted(ends, ends[i] + READ_IDS, "right")) - 1)
-                    block, at = shard.ids(int(ends[i]), int(ends[j])), ends[i : j + 1] - ends[i]
+                    ends = shard.bounds(i, min(i + READ_DOCS, shard.documents))
+                    n = max(1, int(np.searchsorted(ends, ends[0] + READ_IDS, "right")) - 1)
+                    ends = ends[: n + 1]
+                    block, at = shard.ids(int(ends[0]), int(ends[n])), ends - ends[0]
                     crc = [zlib.crc32(block[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(ends[i:j] + row["base"]), pa.array(np.diff(at)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-                    i = j
+                    yield pa.RecordBatch.from_arrays([pa.array(shard.names(i, i + n), pa.int64()), pa.array(ends[:-1] + row["base"]), pa.array(np.diff(at)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    i += n
 
     return shards.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
