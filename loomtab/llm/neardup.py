@@ -241,36 +241,63 @@ def _linked(common_size, a, b):
 def resolve_group(sets: list[np.ndarray]) -> np.ndarray:
     """For each set of a group, the least index of its component under confirmed links.
 
-    Members are visited from one another; a member is compared with all others at once through the postings of its
-    shingles, and only as long as unvisited members are left.
+    Members are visited from one another. Linked sets of a elements share at least 0.75 a, so with rare elements first their first common
+    one is among the first a - ceil(0.75 a) + 1 of either (as in `_split`): only unvisited members that share such an element are
+    compared, on their whole sets: one by one, or through the postings of all elements where that is less work. Pages that share
+    a template but no links do not meet.
     """
     n = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    root = np.arange(n)
-    _, element = np.unique(np.concatenate(sets), return_inverse=True)
-    owner = np.repeat(np.arange(n), sizes)
-    order = np.argsort(element, kind="stable")
-    posting, bounds = owner[order], np.concatenate(([0], np.cumsum(np.bincount(element))))
-    start = np.concatenate(([0], np.cumsum(sizes)))
-    left = np.ones(n, bool)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    root, left = np.arange(n), np.ones(n, bool)
+    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rarity = np.empty(len(count), np.int64)
+    rarity[np.argsort(count, kind="stable")] = np.arange(len(count))
+    owner, start = np.repeat(np.arange(n), sizes), np.concatenate(([0], np.cumsum(sizes)))
+    ranked = rarity[element]
+    ranked = ranked[np.lexsort((ranked, owner))]
+    heads = np.minimum(sizes, sizes - -(-sizes * NUMERATOR // DENOMINATOR) + 1)
+    is_head = np.arange(len(ranked)) - start[owner] < heads[owner]
+
+    def postings(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return owner[of][np.argsort(ranked[of], kind="stable")], np.concatenate(([0], np.cumsum(np.bincount(ranked[of], minlength=len(count)))))
+
+    rest = listed = n
+    (posting, bounds), (every, ends) = postings(is_head), postings(np.ones(len(ranked), bool))
+    mine = np.zeros(len(count), bool)
     for first in range(n):
         if not left[first]:
             continue
-        left[first], todo = False, [first]
-        while todo and left.any():
+        left[first], todo, rest = False, [first], rest - 1
+        while todo and rest:
+            if 2 * rest < listed:  # those that are settled leave the postings
+                listed = rest
+                (posting, bounds), (every, ends) = postings(is_head & left[owner]), postings(left[owner])
             i = todo.pop()
-            own = element[start[i] : start[i + 1]]
-            counts = bounds[own + 1] - bounds[own]
-            ends = np.cumsum(counts)
-            at = np.repeat(bounds[own] - ends + counts, counts) + np.arange(ends[-1])
-            shared = np.bincount(posting[at], minlength=n)
-            near = np.flatnonzero(left & _linked(shared, sizes[i], sizes))
-            left[near] = False
+            own = ranked[start[i] : start[i + 1]]
+            met = np.unique(posting[_stretches(bounds[own[: heads[i]]], bounds[own[: heads[i]] + 1])])
+            met = met[left[met] & (DENOMINATOR * np.minimum(sizes[met], sizes[i]) >= NUMERATOR * np.maximum(sizes[met], sizes[i]))]
+            if not len(met):
+                continue
+            if int(sizes[met].sum()) > n + int((ends[own + 1] - ends[own]).sum()):
+                shared = np.bincount(every[_stretches(ends[own], ends[own + 1])], minlength=n)[met]
+            else:
+                mine[own] = True
+                shared = np.add.reduceat(mine[ranked[_stretches(start[met], start[met + 1])]], np.concatenate(([0], np.cumsum(sizes[met])[:-1])), dtype=np.int64)
+                mine[own] = False
+            near = met[_linked(shared, sizes[i], sizes[met])]
+            left[near], rest = False, rest - len(near)
             root[near] = first
             todo += near.tolist()
     return root
 
 
+def _stretches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The whole numbers from each a to before its b, one stretch after the other."""
+    size = b - a
+    ends = np.cumsum(size)
+    return np.repeat(a - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups in runs of (group, id, text): the root of each id."""
     for t in _by_key(batches):
