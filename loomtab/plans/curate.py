@@ -9,9 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loomtab.operators import checks, drift, tables, values
+from loomtab.operators import checks, drift, ranges, tables, values
 from loomtab.sources import ingest, scratch
 from loomtab.sources.spec import GENERATED, DatasetSpec
 
@@ -75,13 +76,11 @@ def run_dataset(spark: SparkSession, spec: DatasetSpec, paths: dict[str, str | l
 
 
 def _numbered(df: DataFrame) -> DataFrame:
-    """row_id over (_source, _file, _at): each file is numbered on its own, one row a file carries the offsets."""
-    from pyspark.sql import Window as W
-
+    """row_id over (_source, _file, _at): places in a file by ranges, so a large file is no task of its own, and one row a file carries the offsets."""
     counts = df.groupBy("_source", "_file").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select("_source", "_file", F.coalesce(F.sum("_n").over(W.orderBy("_source", "_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(W.partitionBy("_source", "_file").orderBy("_at"))
-    return df.join(F.broadcast(before), ["_source", "_file"]).withColumn("row_id", (F.col("_before") + rank).cast("long")).drop("_before")
+    placed = ranges.running(df, {"_nth": ("count", F.lit(1))}, "_at", ["_source", "_file"])
+    return placed.join(F.broadcast(before), ["_source", "_file"]).withColumn("row_id", (F.col("_before") + F.col("_nth")).cast("long")).drop("_before", "_nth")
 
 
 def _source(spark: SparkSession, name: str, paths: str | list[str], fmt: str) -> DataFrame:
@@ -91,5 +90,6 @@ def _source(spark: SparkSession, name: str, paths: str | list[str], fmt: str) ->
     raw = reader.load(paths)
     names = [ingest.clean_header(c, i) for i, c in enumerate(raw.columns)]
     text = [F.col(f"`{c}`").cast("string").alias(n) for c, n in zip(raw.columns, names, strict=True)]
-    at = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    row = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("row"))  # the parts of a file may be read in any order
     return raw.select(*text, ingest.file_name().alias("_file"), at.alias("_at"))

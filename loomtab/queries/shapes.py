@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -45,7 +46,9 @@ def _(s, d):
 
 @query("materialized_view", "SELECT o_orderstatus, count(*) AS n_orders, count(DISTINCT o_custkey) AS n_customers FROM orders GROUP BY 1")
 def _(s, d):
-    staged = sinks.materialize(table(s, d, "orders").select("o_orderstatus", "o_custkey"), "loomtab_stg_orders")
+    name = f"stg_orders_{uuid.uuid4().hex[:8]}"
+    staged = sinks.materialize(table(s, d, "orders").select("o_orderstatus", "o_custkey"), name)
+    s.catalog.dropTempView(name)  # what was read from it stays
     return staged.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_orders"), F.count_distinct("o_custkey").alias("n_customers"))
 
 
