@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .queries import base, files, quality, shapes, workflow  # noqa: F401
+from .queries import base, files, groups, quality, shapes, workflow  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
