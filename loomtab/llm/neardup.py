@@ -250,19 +250,27 @@ def resolve_group(sets: list[np.ndarray]) -> np.ndarray:
     sizes = np.array([len(s) for s in sets], np.int64)
     root, left = np.arange(n), np.ones(n, bool)
     _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(count, kind="stable")
     rarity = np.empty(len(count), np.int64)
-    rarity[np.argsort(count, kind="stable")] = np.arange(len(count))
-    owner, start = np.repeat(np.arange(n), sizes), np.concatenate(([0], np.cumsum(sizes)))
-    ranked = rarity[element]
-    ranked = ranked[np.lexsort((ranked, owner))]
+    rarity[order] = np.arange(len(count))
+    count = count[order]
+    small = np.int32 if max(len(element), n) < 1 << 31 else np.int64  # a task holds several of these arrays
+    start = np.concatenate(([0], np.cumsum(sizes)))
+    key = np.repeat(np.arange(n) * len(count), sizes) + rarity[element]  # by set, rare elements first
+    del element, rarity
+    key.sort()
+    owner, ranked = (key // len(count)).astype(small), (key % len(count)).astype(small)
+    del key
     heads = np.minimum(sizes, sizes - -(-sizes * NUMERATOR // DENOMINATOR) + 1)
     is_head = np.arange(len(ranked)) - start[owner] < heads[owner]
 
     def postings(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return owner[of][np.argsort(ranked[of], kind="stable")], np.concatenate(([0], np.cumsum(np.bincount(ranked[of], minlength=len(count)))))
+        at = ranked[of]
+        return owner[of][np.argsort(at, kind="stable")], np.concatenate(([0], np.cumsum(np.bincount(at, minlength=len(count))))).astype(small)
 
     rest = listed = n
-    (posting, bounds), (every, ends) = postings(is_head), postings(np.ones(len(ranked), bool))
+    posting, bounds = postings(is_head)
+    every = ends = None  # of all elements; made only if they are needed
     mine = np.zeros(len(count), bool)
     for first in range(n):
         if not left[first]:
@@ -270,15 +278,16 @@ def resolve_group(sets: list[np.ndarray]) -> np.ndarray:
         left[first], todo, rest = False, [first], rest - 1
         while todo and rest:
             if 2 * rest < listed:  # those that are settled leave the postings
-                listed = rest
-                (posting, bounds), (every, ends) = postings(is_head & left[owner]), postings(left[owner])
+                listed, every = rest, None
+                posting, bounds = postings(is_head & left[owner])
             i = todo.pop()
             own = ranked[start[i] : start[i + 1]]
             met = np.unique(posting[_stretches(bounds[own[: heads[i]]], bounds[own[: heads[i]] + 1])])
             met = met[left[met] & (DENOMINATOR * np.minimum(sizes[met], sizes[i]) >= NUMERATOR * np.maximum(sizes[met], sizes[i]))]
             if not len(met):
                 continue
-            if int(sizes[met].sum()) > n + int((ends[own + 1] - ends[own]).sum()):
+            if int(sizes[met].sum()) > n + int(count[own].sum()):
+                every, ends = (every, ends) if every is not None else postings(left[owner])
                 shared = np.bincount(every[_stretches(ends[own], ends[own + 1])], minlength=n)[met]
             else:
                 mine[own] = True
@@ -293,7 +302,7 @@ def resolve_group(sets: list[np.ndarray]) -> np.ndarray:
 
 def _stretches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The whole numbers from each a to before its b, one stretch after the other."""
-    size = b - a
+    a, size = a.astype(np.int64), (b - a).astype(np.int64)
     ends = np.cumsum(size)
     return np.repeat(a - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
 
