@@ -5,7 +5,8 @@ data is masked, and the rest is packed into token sequences.
 
 Defined cases: a null or empty text scores as one empty sentence, is linked with nothing and holds no passage or personal data, and
 is packed as the end id alone; of rows that share a doc_id one stays, rows without doc_id all stay; of a group of
-near-duplicates that with the least doc_id stays; without labels nothing is toxic; empty tables give no rows; further
+near-duplicates that with the least doc_id stays; benchmark items of under ten characters, which many clean
+documents hold by chance, make none go; without labels nothing is toxic; empty tables give no rows; further
 columns, whatever their names, pass through all stages but the last.
 """
 
