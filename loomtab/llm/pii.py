@@ -8,10 +8,12 @@ equal or similar content share skip edges. The labels of the base spans are obse
 other node its marginal, and a node where a label other than O has more than SURE of it becomes a span (adjacent nodes of
 one label become one span).
 
-All potentials (token shapes, label pairs along the chain, agreement over a skip edge) are learnt together, by
-pseudo-likelihood on a bounded, documented sample of the texts. Base labels alone would teach the field that whatever no
-pattern takes is nothing, so mentions in other forms are planted beside the base spans of the sample, as are numbers of
-the same forms that belong to nothing.
+All potentials (token shapes, label pairs along the chain, agreement over a skip edge) are learnt together, on a bounded,
+documented sample of the texts. Base labels alone would teach the field that whatever no pattern takes is nothing, so
+mentions in other forms are planted beside the base spans of the sample, as are numbers of the same forms that belong to
+nothing. Texts in which a number runs on into the next one are left out of the sample, as their labels are not known.
+The field is fitted as it is used: with the base labels observed, the gradient is what the sample shows of the
+other labels less what the messages expect of them; pseudo-likelihood gives the first potentials.
 
 Defined cases: null text is empty and has no spans; any length of text is taken whole in linear time; repeated rows get
 equal spans; without any text to learn from the field adds nothing; spans count code points, end exclusive; other columns
@@ -24,8 +26,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +49,8 @@ MASKS = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
 
 #: Documented bound: the field is fitted on the distinct texts with a digit or an @ that have the smallest hashes, so many at most.
 FIT_DOCS = 2000
+#: Documented bound: texts of more nodes are not fitted on (all texts are searched, however many nodes they have).
+FIT_NODES = 200
 ROUNDS = 8
 LABELS = ("O", *KINDS)
 #: Marginal from which a node becomes a span.
@@ -55,6 +58,7 @@ SURE = 0.5
 #: Kinds of directed edges: along the chain, against it, equal content, similar content.
 FORTH, BACK, SAME, SIMILAR = range(4)
 ENDS = ".,;:!?()[]<>\"'"
+NUMBER = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -108,9 +112,10 @@ def _content(token: str) -> tuple[list[str], list[str]]:
     if "@" in token:
         local = core.lower().split("@")[0]
         return [f"@{core.lower()}"], [f"@{local}"] if len(local) >= 4 else []
-    similar = [f"#{digits[-7:]}"] if len(digits) >= 7 else []
-    if len(core) >= 4:
-        similar.append(f"@{core.lower()}")
+    similar = [f"@{core.lower()}"] if len(core) >= 4 else []
+    parts = NUMBER.findall(core)
+    if len(parts) == 4 and all(len(p) <= 3 for p in parts):
+        similar.append("." + ".".join(parts))
     return ([f"#{core}"] if len(digits) >= 4 else []), similar
 
 
@@ -178,6 +183,11 @@ class Field:
             while i < len(spans) and spans[i][1] <= s:
                 i += 1
             self.label.append(next((k for a, b, k in spans[i : i + 4] if a < e and b > s), 0))
+        run = ""
+        for n, (s, e) in enumerate(tokens):  # the last digits of adjacent tokens together, so that a number is like itself in any grouping
+            run = "" if "@" in text[s:e] else ((run if n and self.adjacent(n) else "") + "".join(NUMBER.findall(text, s, e)))[-7:]
+            if len(run) == 7:
+                keys[n][1].insert(0, f"#{run}")
         self.edges: list[tuple[int, int, int]] = []
         last: dict[tuple[int, str], int] = {}
         known: dict[tuple[int, str], int] = {}
@@ -202,37 +212,60 @@ class Field:
 
     def marginals(self, model: FieldModel, rounds: int = ROUNDS, observed: bool = True) -> np.ndarray:
         """Node marginals by loopy sum-product; observed nodes keep their label."""
+        label = np.array(self.label, np.int64) if observed else np.zeros(len(self.nodes), np.int64)
+        return Messages(self.shape, label, np.array(self.edges, np.int64).reshape(-1, 3)).expect(model, rounds)[0]
+
+
+class Messages:
+    """Loopy sum-product on nodes of given shapes; those with an observed label keep it. edges: (node, node, kind) each."""
+
+    def __init__(self, shape: np.ndarray, observed: np.ndarray, edges: np.ndarray):
+        self.shape, self.observed, self.kind = shape, observed, edges[:, 2]
+        a, b = edges[:, 0], edges[:, 1]
+        self.source, self.target = np.concatenate((a, b)), np.concatenate((b, a))
+        self.back = np.concatenate((np.arange(len(a)) + len(a), np.arange(len(a))))
+        self.way = np.concatenate((self.kind, np.where(self.kind == FORTH, BACK, self.kind)))
+        self.order = np.argsort(self.target, kind="stable")
+        self.met, self.first = np.unique(self.target[self.order], return_index=True)
+        self.of_way = [(w, i) for w in (FORTH, BACK, SAME, SIMILAR) if len(i := np.flatnonzero(self.way == w))]
+
+    def expect(self, model: FieldModel, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+        """The marginals of nodes, and of each directed edge what its source says without what it hears over it."""
         local = self.shape @ model.node
-        if observed:
-            label = np.array(self.label, np.int64)
-            local[label > 0] = -40.0
-            local[label > 0, label[label > 0]] = 40.0
-        if self.edges:
-            a, b, kind = (np.array(x) for x in zip(*self.edges, strict=True))
-            source, target = np.concatenate((a, b)), np.concatenate((b, a))
-            back = np.concatenate((np.arange(len(a)) + len(a), np.arange(len(a))))
-            factor = model.factors()[np.concatenate((kind, np.where(kind == FORTH, BACK, kind)))]
-            message = np.zeros((len(source), len(LABELS)))
-            for _ in range(rounds):
-                belief = local.copy()
-                np.add.at(belief, target, message)
-                out = belief[source] - message[back]
-                p = np.exp(out - out.max(1, keepdims=True))
-                new = np.einsum("ek,ekl->el", p / p.sum(1, keepdims=True), factor)
-                message = np.log(new / new.sum(1, keepdims=True) + 1e-30)
-            np.add.at(local, target, message)
-        p = np.exp(local - local.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
-
-    def surroundings(self) -> np.ndarray:
-        """Of each node, how many neighbours of each label it has: before it and after it in the chain, of equal and of similar content."""
-        k = len(LABELS)
-        out = np.zeros((len(self.nodes), 4 * k))
-        for a, b, kind in self.edges:
-            out[b, kind * k + self.label[a]] += 1
-            out[a, (BACK if kind == FORTH else kind) * k + self.label[b]] += 1
+        seen = np.flatnonzero(self.observed)
+        local[seen] = -40.0
+        local[seen, self.observed[seen]] = 40.0
+        message = np.zeros((len(self.source), len(LABELS)))
+        factors, belief = model.factors(), local
+        for _ in range(rounds if len(self.source) else 0):
+            out = belief[self.source] - message[self.back]
+            p = np.exp(out - out.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            new = np.empty_like(p)
+            for way, i in self.of_way:
+                new[i] = p[i] @ factors[way]
+            message = np.log(new / new.sum(1, keepdims=True) + 1e-30)
+            belief = local.copy()
+            belief[self.met] += np.add.reduceat(message[self.order], self.first)
+        p = np.exp(belief - belief.max(1, keepdims=True))
+        return p / p.sum(1, keepdims=True), belief[self.source] - message[self.back]
+
+    def pairs(self, model: FieldModel, said: np.ndarray) -> dict[int, np.ndarray]:
+        """The expected number of edges of each kind and pair of labels."""
+        side, m, factors = np.exp(said - said.max(1, keepdims=True)), len(self.kind), model.factors()
+        out = {}
+        for kind in (FORTH, SAME, SIMILAR):
+            i = np.flatnonzero(self.kind == kind)
+            pair = side[i, :, None] * factors[kind] * side[i + m, None, :]
+            out[kind] = (pair / pair.sum((1, 2), keepdims=True)).sum(0)
         return out
 
+    def surroundings(self, label: np.ndarray) -> np.ndarray:
+        """Of each node, how many neighbours of each label it has: before it and after it in the chain, of equal and of similar content."""
+        out = np.zeros((len(self.shape), 4, len(LABELS)))
+        np.add.at(out, (self.target, self.way, label[self.source]), 1)
+        return out.reshape(len(self.shape), -1)
+
 
 def _strip(text: str, s: int, e: int) -> tuple[int, int]:
     """Without signs at the ends; a bracket stays where its other half is inside."""
@@ -304,10 +337,13 @@ def plant(text: str, rng: random.Random, share: float = 0.7) -> tuple[str, list[
     new: list[tuple[int, int, int, str]] = []
     for nth, (k, value) in enumerate(values):
         if free and rng.random() < share:
-            if KINDS[k - 1] == "phone" and rng.random() < 0.3:  # as it is, but it runs on into a number, so that the pattern fails
+            if KINDS[k - 1] in ("phone", "card") and rng.random() < 0.3:  # as it is or another of its form, but it runs on into a number, so that the pattern fails
                 place = rng.choice(free)
-                follower = ".".join(str(rng.randrange(256)) for _ in range(4)) if rng.random() < 0.7 else _like("1" * rng.randint(8, 16), rng)
-                new += [(place, 2 * nth, k, value), (place, 2 * nth + 1, 0, follower)]
+                follower = ".".join(str(rng.randrange(256)) for _ in range(4)) if KINDS[k - 1] == "phone" and rng.random() < 0.7 else _like("1" * rng.randint(8, 16), rng)
+                own = value if rng.random() < 0.5 else _like(value, rng)
+                if KINDS[k - 1] == "card":
+                    own = next(c for c in (own[:-1] + d for d in "0123456789") if luhn(re.sub(r"[\x20-]", "", c)))
+                new += [(place, 2 * nth, k, own), (place, 2 * nth + 1, 0, follower)]
                 continue
             form = other_form(KINDS[k - 1], value, rng)
             new.append((rng.choice(free), 2 * nth, k, form))
@@ -325,45 +361,93 @@ def plant(text: str, rng: random.Random, share: float = 0.7) -> tuple[str, list[
 
 
 def train(docs: DataFrame, fit_docs: int = FIT_DOCS) -> FieldModel:
-    """All potentials by pseudo-likelihood: of each node's label given its shape and the labels of its neighbours."""
+    """All potentials from a bounded sample of the texts, with mentions planted in it."""
     common.prepare(docs.sparkSession)
     sample = common.smallest_distinct(docs.select(F.xxhash64("text").alias("h"), "text").where(F.col("text").rlike("[0-9@]")), "h", fit_docs).select("text")
-    rows = sample.mapInArrow(_fit_rows, "label int, features binary, n long").groupBy("label", "features").agg(F.sum("n").alias("n")).toPandas()  # distinct surroundings, not tokens
-    if not len(rows):
+    rows = sample.mapInArrow(_fit_rows, "label binary, observed binary, shape binary, edges binary").toPandas()  # fit_docs rows of at most FIT_NODES nodes
+    return fit(rows.sort_values(list(rows.columns)).itertuples(index=False))
+
+
+def fit(rows: Iterable[tuple[bytes, bytes, bytes, bytes]], steps: int = 600, message_steps: int = 200) -> FieldModel:
+    """Potentials from the fields of `_fit_rows`: by pseudo-likelihood of each label given those around, then by what messages expect."""
+    labels, observed, shapes, edges, n = [], [], [], [], 0
+    for label, seen, shape, edge in rows:
+        labels.append(np.frombuffer(label, np.int8).astype(np.int64))
+        observed.append(np.frombuffer(seen, np.int8).astype(np.int64))
+        shapes.append(np.frombuffer(shape, np.float32).reshape(-1, N_SHAPE).astype(float))
+        edges.append(np.frombuffer(edge, np.int32).reshape(-1, 3).astype(np.int64) + [n, n, 0])
+        n += len(labels[-1])
+    if not n:
         return FieldModel.blank()
-    rows = rows.sort_values(["label", "features"]).reset_index(drop=True)
-    x = np.stack([np.frombuffer(b, np.float32) for b in rows.features]).astype(float)
-    return fit(x[:, :N_SHAPE], x[:, N_SHAPE:], rows.label.to_numpy(), rows.n.to_numpy(float))
+    label, field = np.concatenate(labels), Messages(np.concatenate(shapes), np.concatenate(observed), np.concatenate(edges))
+    return _by_messages(_by_pseudo_likelihood(field, label, steps), field, label, message_steps)
 
 
-def fit(shape: np.ndarray, around: np.ndarray, label: np.ndarray, weight: np.ndarray, steps: int = 600) -> FieldModel:
+def _ascend(w: list[np.ndarray], gradient: Callable[[list[np.ndarray]], Iterable[np.ndarray]], steps: int, shrink: float) -> list[np.ndarray]:
     """Gradient ascent with a step of its own for each potential, which shrinks as its gradients add up."""
+    w, seen = [x.copy() for x in w], [np.full(x.shape, 1e-8) for x in w]
+    for _ in range(steps):
+        for x, d, total in zip(w, list(gradient(w)), seen, strict=True):
+            d = d - shrink * x
+            total += d * d
+            x += 0.3 * d / np.sqrt(total)
+    return w
+
+
+def _by_pseudo_likelihood(field: Messages, label: np.ndarray, steps: int) -> FieldModel:
     k = len(LABELS)
-    y, n = np.eye(k)[label], weight[:, None] / weight.sum()
+    rows, weight = np.unique(np.concatenate((label[:, None], field.shape, np.minimum(field.surroundings(label), 3)), 1), axis=0, return_counts=True)
+    shape, around = rows[:, 1 : 1 + N_SHAPE], rows[:, 1 + N_SHAPE :]
+    y, n = np.eye(k)[rows[:, 0].astype(int)], weight[:, None] / weight.sum()
     before, after, same, similar = (around[:, i * k : (i + 1) * k] for i in range(4))
-    w = [np.zeros((N_SHAPE, k)), np.zeros((k, k)), np.zeros(k), np.zeros(k)]
-    seen = [np.full(x.shape, 1e-8) for x in w]
-    for _ in range(steps):
+
+    def gradient(w: list[np.ndarray]) -> Iterator[np.ndarray]:
         z = shape @ w[0] + before @ w[1] + after @ w[1].T + same * w[2] + similar * w[3]
         p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        g = n * (y - p)
-        for i, d in enumerate((shape.T @ g, before.T @ g + (after.T @ g).T, (same * g).sum(0), (similar * g).sum(0))):
-            d = d - 1e-5 * w[i]
-            seen[i] += d * d
-            w[i] += 0.3 * d / np.sqrt(seen[i])
-    return FieldModel(*w)
+        g = n * (y - p / p.sum(1, keepdims=True))
+        yield from (shape.T @ g, before.T @ g + (after.T @ g).T, (same * g).sum(0), (similar * g).sum(0))
+
+    return FieldModel(*_ascend([np.zeros((N_SHAPE, k)), np.zeros((k, k)), np.zeros(k), np.zeros(k)], gradient, steps, 1e-5))
+
+
+def _by_messages(start: FieldModel, field: Messages, label: np.ndarray, steps: int) -> FieldModel:
+    """Ascent of the likelihood of the labels that are not observed, given those that are."""
+    m, hidden = len(field.kind), max(1, int((field.observed == 0).sum()))
+    y = np.eye(len(LABELS))[label]
+    true = {kind: y[field.source[:m][field.kind == kind]].T @ y[field.target[:m][field.kind == kind]] for kind in (FORTH, SAME, SIMILAR)}
+
+    def gradient(w: list[np.ndarray]) -> Iterator[np.ndarray]:
+        model = FieldModel(*w)
+        node, said = field.expect(model)
+        more = {kind: (true[kind] - pair) / hidden for kind, pair in field.pairs(model, said).items()}
+        yield field.shape.T @ (y - node) / hidden
+        yield more[FORTH]
+        yield from (np.diagonal(more[kind]) for kind in (SAME, SIMILAR))
+
+    return FieldModel(*_ascend([start.node, start.chain, start.same, start.similar], gradient, steps, 1e-4))
+
+
+def _runs_on(text: str) -> bool:
+    """Whether a pattern took more digits than its kind has, so that what it took may hold a number of it."""
+    count = lambda m: sum(map(str.isdigit, m[0]))
+    return any(count(m) > 19 for m in CARD.finditer(text)) or "+" in text and any(count(m) > 15 for m in PHONE.finditer(text))
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The field of each text with mentions planted in it: true labels, those of base spans, shapes and edges."""
+    names = ["label", "observed", "shape", "edges"]
     for batch in batches:
-        count: dict[tuple[int, bytes], int] = defaultdict(int)
+        rows = []
         for t in batch.column(0).to_pylist():
+            if _runs_on(t or ""):
+                continue
             text, planted, _ = plant(t or "", random.Random(zlib.crc32((t or "").encode("utf-8", "surrogatepass"))))
-            field = Field(text, base_spans(text), planted)
-            for label, row in zip(field.label, np.concatenate((field.shape, np.minimum(field.surroundings(), 3)), 1).astype(np.float32), strict=True):
-                count[label, row.tobytes()] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in count], pa.int32()), pa.array([k[1] for k in count], pa.binary()), pa.array(list(count.values()), pa.int64())], ["label", "features", "n"])
+            base = base_spans(text)
+            field = Field(text, base)
+            if 0 < len(field.nodes) <= FIT_NODES:
+                true = Field(text, base, planted).label
+                rows.append((np.array(true, np.int8).tobytes(), np.array(field.label, np.int8).tobytes(), field.shape.astype(np.float32).tobytes(), np.array(field.edges, np.int32).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in zip(*rows, strict=True)] or [pa.array([], pa.binary())] * 4, names)
 
 
 def find(docs: DataFrame, model: FieldModel) -> DataFrame:

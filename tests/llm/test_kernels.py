@@ -315,8 +315,7 @@ def _taught():
     import pyarrow as pa
 
     rows = next(pii._fit_rows([pa.RecordBatch.from_arrays([pa.array([text() for _ in range(600)])], ["text"])])).to_pandas()
-    x = np.stack([np.frombuffer(b, np.float32) for b in rows.features]).astype(float)
-    return pii.fit(x[:, : pii.N_SHAPE], x[:, pii.N_SHAPE :], rows.label.to_numpy(), rows.n.to_numpy(float)), text
+    return pii.fit(rows.itertuples(index=False)), text
 
 
 def test_skip_chain_adds_consistent_mentions():
