@@ -13,6 +13,9 @@ TRUE_TEXTS, FALSE_TEXTS = ["true", "1", "yes"], ["false", "0", "no"]
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _SUFFIX = r"[dDfF]$"
 _INFINITE = r"(?i)^[+-]?inf$"
+#: All that the engine can read as a whole number, and as a double. A text of another form costs it an exception inside, some 20 microseconds, so none is tried.
+_WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+_DOUBLE = r"(?i)^[\x00-\x20]*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?\d+|nan|inf(inity)?)[df]?[\x00-\x20]*$"
 _DATE = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}([ T]\d{1,2}:\d{1,2}.*)?$"
 
 
@@ -29,11 +32,11 @@ def null_strings(c: Column, texts: list[str] | None = None) -> Column:
 
 def to_int64(t: Column) -> Column:
     rounded = F.round(t.try_cast(T.DecimalType(38, 10)), 0).try_cast("bigint")
-    return F.coalesce(t.try_cast("bigint"), F.when(t.rlike(_NUMBER), rounded))
+    return F.coalesce(F.when(t.rlike(_WHOLE), t.try_cast("bigint")), F.when(t.rlike(_NUMBER), rounded))
 
 
 def to_float64(t: Column) -> Column:
-    return F.when(~t.rlike(_SUFFIX) | t.rlike(_INFINITE), t.try_cast("double"))
+    return F.when(t.rlike(_DOUBLE) & (~t.rlike(_SUFFIX) | t.rlike(_INFINITE)), t.try_cast("double"))
 
 
 def to_datetime64(t: Column) -> Column:

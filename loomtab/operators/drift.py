@@ -38,8 +38,9 @@ def kinds_in(df: DataFrame) -> DataFrame:
         text = F.col(f"`{c}`").cast("string")
         kind = F.lit("string")
         for k in reversed(tried):
-            other = try_cast(text, k).isNull() if k != "int64" else ~try_cast(text, k).cast("double").eqNullSafe(try_cast(text, "float64"))
-            fits = (F.count_if(text.isNotNull() & (other | try_cast(text, k).isNull())) == 0) & (F.count(text) > 0)
+            value = try_cast(text, k)
+            unfit = value.isNull() if k != "int64" else value.isNull() | ~value.cast("double").eqNullSafe(try_cast(text, "float64"))
+            fits = (F.count_if(text.isNotNull() & unfit) == 0) & (F.count(text) > 0)
             kind = F.when(fits, k).otherwise(kind)
         rows.append(F.struct(F.lit(c).alias("col"), kind.alias("type")))
     return df.agg(F.array(*rows).alias("all")).select(F.inline("all"))

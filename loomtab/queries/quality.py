@@ -291,7 +291,7 @@ def _kinds(name: str, columns: tuple[str, ...]) -> str:
   JOIN ({_kinds(f"({HOLES})", ("event_id", "kind", "v", "ts"))}) ON col = column_name"""))
 def _(s, d):
     df = ingest.all_strings(derived(s, d, HOLES))
-    return checks.dtype_report(df, SPEC, drift.kinds_in(df))
+    return checks.dtype_report(df, SPEC, drift.kinds_in(df.select(*[c for c in SPEC.names if c in df.columns])))
 
 
 @query("type_drift", f"""SELECT coalesce(a.col, b.col) AS col, CASE WHEN a.col IS NULL THEN 'extra' WHEN b.col IS NULL THEN 'missing' ELSE 'type_mismatch' END AS status
