@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomtab.sources import scratch
+
 #: Keys looked at to find the cuts, for each range.
 KEYS_A_RANGE = 32
 
@@ -106,3 +108,28 @@ def running(df: DataFrame, columns: dict[str, tuple[str, Column]], order: str, b
 
     joined = parted.join(F.broadcast(carried), "_part").withColumns({n: total(n, k) for n, (k, _) in columns.items()})
     return joined.select(*[c for c in df.columns if c not in columns], *columns)
+
+
+#: monotonically_increasing_id: the number of a partition stands above so many bits of the place in it.
+PLACE_BITS = 33
+
+
+def numbered(df: DataFrame, name: str, order: list[str], by: list[str] = ()) -> DataFrame:
+    """df with the number of each row in its group, from 1, by the columns of `order` (NULL comes last), as `running` counts them.
+
+    One sort over the cluster writes the rows with their places; a number is a place less the first of its group there, and
+    the group's rows in the partitions before. So rows move once, and no window passes over them; of the (partition, group)
+    pairs there are as many as groups and partitions together.
+    """
+    by, spark = list(by), df.sparkSession
+    plain = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    keys = [*[F.asc_nulls_first(c) for c in by], *[F.asc_nulls_last(c) for c in order], F.asc("_tie")]
+    told = df.withColumn("_tie", F.xxhash64(*plain)).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+    kept = scratch.stored(told.drop("_tie").withColumn("_place", F.monotonically_increasing_id()), scratch.new_folder(spark, "numbered"))
+    group = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(by)], F.lit(0).alias("all"))
+    part = F.shiftright("_place", PLACE_BITS)
+    runs = kept.groupBy(part.alias("_part"), group.alias("_group")).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("_group").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = scratch.stored(runs.select("_part", "_group", (before + 1 - F.col("_first")).alias("_less")), scratch.new_folder(spark, "starts"))
+    joined = kept.join(starts, (part == F.col("_part")) & group.eqNullSafe(F.col("_group")))
+    return joined.select(*[c for c in df.columns if c != name], (F.col("_place") + F.col("_less")).alias(name))

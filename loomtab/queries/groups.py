@@ -17,8 +17,7 @@ def _(s, d):
 
 @query("running_whole_table", "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS nth FROM lineitem")
 def _(s, d):
-    rows = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_orderkey", "l_linenumber").alias("at"))
-    return ranges.running(rows, {"nth": ("count", F.lit(1))}, "at").drop("at")
+    return ranges.numbered(table(s, d, "lineitem").select("l_orderkey", "l_linenumber"), "nth", ["l_orderkey", "l_linenumber"])
 
 
 #: So small that groups of the tests' tables are narrowed too.

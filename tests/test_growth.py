@@ -1,10 +1,13 @@
 """What keeps the cost of a row from growing: casts that raise nothing inside, and steps that do not repeat a pass."""
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomtab import registry
 from loomtab.functions import casts
+from loomtab.operators import ranges
+from loomtab.queries import files
 
 DIR = "/root/testdata/sf0.001"
 ODD = [
@@ -35,3 +38,35 @@ def test_no_number_is_tried_on_a_text_of_another_form(spark, cast):
 def test_kinds_of_declared_columns_alone(spark):
     plan = registry.queries()["dtype_report"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "% 3" not in plan and "cast(event_type" not in plan
+
+
+def test_numbers_of_a_sort_are_those_of_a_window(spark):
+    """Large and small groups, NULLs in group and order, equal keys, one column of order that is a field."""
+    g = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("s"), F.col("id") % 301))
+    k = F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.xxhash64("id") % 1000)
+    df = spark.range(20_000).select("id", g.alias("g"), F.struct(k.alias("k"), (-F.col("id")).alias("i")).alias("at")).cache()
+    for by in ([], ["g"]):
+        want = F.row_number().over(W.partitionBy(*by, F.lit(0)).orderBy(F.asc_nulls_last("at.k"), F.asc("at.i")))
+        got = ranges.numbered(df, "n", ["at.k", "at.i"], by)
+        assert got.columns == ["id", "g", "at", "n"]
+        assert got.select("id", "n").exceptAll(df.select("id", want.cast("long").alias("n"))).count() == 0 and got.count() == 20_000
+    ties = ranges.numbered(spark.range(1000).select((F.col("id") % 3).alias("x")), "n", ["x"])
+    assert sorted(r["n"] for r in ties.collect()) == list(range(1, 1001))
+    assert [r["x"] for r in ties.orderBy("n").collect()] == sorted(i % 3 for i in range(1000))
+    assert ranges.numbered(df.where("id < 0"), "n", ["id"], ["g"]).count() == 0
+
+
+def test_whole_table_is_numbered_without_a_window_over_its_rows(spark):
+    plan = registry.queries()["running_whole_table"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "lambda" not in plan
+
+
+def test_states_of_raw_files_are_made_in_one_job(spark, monkeypatch):
+    made = []
+    put = files.put_files
+    monkeypatch.setattr(files, "put_files", lambda *a: made.append(a) or put(*a))
+    passes = []
+    run = ranges.running
+    monkeypatch.setattr(ranges, "running", lambda *a, **b: passes.append(a) or run(*a, **b))
+    registry.queries()["refreshed_state"](spark, DIR)
+    assert len(made) == 1 and not passes
