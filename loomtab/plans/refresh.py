@@ -94,7 +94,7 @@ def _work(spark: SparkSession, spec: DatasetSpec, raw: str, to: str, fmt: str, p
     held = scratch.new_folder(spark, "quarantine")
     parted = tables.quarantine(stacked, spec, held)
     good = values.apply_value_maps(parted.good, {c: dict(m) for c, m in spec.value_maps.items()})
-    numbered = ranges.running(good, {"_nth": ("count", F.lit(1))}, "_at", ["_file"]).drop("_at")
+    numbered = ranges.numbered(good, "_nth", ["_at.block", "_at.row"], ["_file"]).drop("_at")
     numbered.write.partitionBy("_file").parquet(f"{to}/_verdict=good")
     parted.bad.drop("_at").write.partitionBy("_file").parquet(f"{to}/_verdict=bad")
     n_good = spark.read.schema("_file string").parquet(f"{to}/_verdict=good").groupBy(F.col("_file").alias("name")).agg(F.count(F.lit(1)).alias("n_rows"))
