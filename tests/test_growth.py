@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomtab import registry
 from loomtab.functions import casts
-from loomtab.operators import ranges
+from loomtab.operators import ranges, ranks
 from loomtab.queries import files
 
 DIR = "/root/testdata/sf0.001"
@@ -70,3 +70,13 @@ def test_states_of_raw_files_are_made_in_one_job(spark, monkeypatch):
     monkeypatch.setattr(ranges, "running", lambda *a, **b: passes.append(a) or run(*a, **b))
     registry.queries()["refreshed_state"](spark, DIR)
     assert len(made) == 1 and not passes
+
+
+def test_later_rounds_of_a_percentile_read_what_is_left(spark, monkeypatch):
+    read = []
+    narrowed = ranks._narrowed
+    monkeypatch.setattr(ranks, "_narrowed", lambda values, *a: read.append(values.count()) or narrowed(values, *a))
+    df = spark.range(60_000).select((F.xxhash64("id") / 3.0).alias("v"))
+    got = ranks.exact_percentile(df, [], "v", 0.5, "p", limit=100).first()["p"]
+    assert got == df.agg(F.percentile("v", 0.5).alias("p")).first()["p"]
+    assert len(read) > 1 and read[0] == 60_000 and all(n < 6_000 for n in read[1:])
